@@ -129,7 +129,7 @@ def _(v):
 def _(v):
     from clanweave.operators.neighborhood import fuse_families
 
-    return A.family_names(fuse_families(v.family_match).select("family"), v.family_names)
+    return A.family_names(fuse_families(v.gene_matches).select("family"), v.family_names)
 
 
 @query(

@@ -45,7 +45,7 @@ def _(v):
 
 @query(
     "gnn02_find_neighbors",
-    f"""select query, neighbor, num, n.distance, direction, contig, n.start + case when query_num + distance < 1 then -l.stop when query_num + distance > max_num then l.stop else 0 end - q.start as rel_start,
+    f"""select query, neighbor, n.num, n.distance, direction, contig, n.start + case when query_num + distance < 1 then -l.stop when query_num + distance > max_num then l.stop else 0 end - q.start as rel_start,
     case when query_num - {WINDOW} < 1 then 1 else 0 end + case when query_num + {WINDOW} > max_num then 2 else 0 end as is_bound from neighbors n
     join (select "ID", "NUM", stop from genes) l on l."ID" = n.contig and l."NUM" = n.max_num join (select "ID", "NUM", start from genes) q on q."ID" = n.contig and q."NUM" = n.query_num""",
 )
@@ -67,7 +67,7 @@ def _(v):
 
 @query("gnn04_fuse_families", "select accession, family from fused")
 def _(v):
-    return N.fuse_families(v.family_match)
+    return N.fuse_families(v.gene_matches)
 
 
 @query("gnn05_restrict_window", "select query, neighbor, distance from neighbors where abs(distance) <= 3")

@@ -114,7 +114,7 @@ def _(v):
 def _(v):
     from clanweave.operators import neighborhood as N
 
-    fam = N.fuse_families(v.family_match).select("family").distinct()
+    fam = N.fuse_families(v.gene_matches).select("family").distinct()
     return G.family_color(fam, v.palette).withColumn("pos", F.col("pos").cast("long"))
 
 
