@@ -21,6 +21,11 @@ def views(spark: SparkSession, sf_dir: str) -> Views:
     return _VIEWS[key]
 
 
+def forget_views() -> None:
+    """Let the next query materialise its views again (for timing)."""
+    _VIEWS.clear()
+
+
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Views], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: fn(views(spark, sf_dir))

@@ -77,6 +77,7 @@ class Views:
         return self.table("part").select(acc("p_partkey").alias("node_id"), extra.alias("i")).select(
             "node_id",
             F.lit("UniRef90 Cluster IDs").alias("name"),
+            F.lit("list").alias("type"),
             F.when(F.col("i") == 0, F.col("node_id")).otherwise(F.concat("node_id", F.lit("V"), "i")).alias("value"),
         )
 

@@ -70,7 +70,7 @@ def sequence_id(ordinal: str):
 def read_metagenome_reads(spark: SparkSession, path: str, skip_long: bool = False) -> DataFrame:
     """``(sample, read_id, seq, len)`` of FASTA or FASTQ files (plain, gz, bz2), by file name."""
     lines = records(spark, path).where("value <> ''")
-    kind = F.when(F.lower("_file").rlike(r"\.(fastq|fq)(\.|$)"), "fastq").otherwise("fasta")
+    kind = F.when(F.lower("_file").rlike(r"\.(fastq|fq)([./]|$)"), "fastq").otherwise("fasta")
     sample = F.regexp_extract("_file", r"([^/.]+)\.[^/]*$", 1)
     lines = lines.withColumn("_kind", kind)
     q = ordered_scan(lines.where("_kind = 'fastq'"), ["_file"], ORDER[1:], rank="_r")
