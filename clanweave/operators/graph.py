@@ -32,8 +32,8 @@ def connected_components(
     """``(node, component)``; a component is named after its smallest node ID.
 
     Alternating large-star / small-star (Kiveris et al. 2014). A round is two aggregations with map-side
-    ``min`` and two equi-joins against one row per node, so a hub is never gathered in one place (the hub's
-    rows are the streamed side that adaptive execution splits). Every round is written to the shared
+    ```min`` and two equi-joins against one row per node, so a hub is never gathered in one place (the hub's
+    rows are the streamed side that adaptive execution splits). Every second round is written to the shared
     scratch area; the loop ends once the links form stars, O(log² n) rounds.
     """
     links = edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
@@ -41,14 +41,7 @@ def connected_components(
     for _ in range(max_rounds):
         if not _has_chain(links):
             break
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("_low")).select("u", F.least("u", "_low").alias("low"))
-        large = (
-            both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v").distinct()
-        )
-        low2 = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(low2, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        links = materialize(small.unionByName(low2.select("u", F.col("low").alias("v"))).distinct(), "links")
+        links = materialize(_star_round(_star_round(links)), "links")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     found = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -59,11 +52,24 @@ def connected_components(
     return found.unionByName(alone.select("node", F.col("node").alias("component")))
 
 
+def _star_round(links: DataFrame) -> DataFrame:
+    """One large-star and one small-star step over links ``u > v``."""
+    both = _pairs(links, ("u", "v"), ("v", "u"))
+    low = both.groupBy("u").agg(F.min("v").alias("_low")).select("u", F.least("u", "_low").alias("low"))
+    large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v")
+    low2 = large.groupBy("u").agg(F.min("v").alias("low"))
+    return _pairs(large.join(low2, "u"), ("u", "low"), ("v", "low")).where("u <> v").distinct()
+
+
+def _pairs(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """Several (u, v) rows from each row, in one pass over the input."""
+    return df.select(F.explode(F.array(*[F.struct(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in pairs])).alias("p")).select("p.u", "p.v")
+
+
 def _has_chain(links: DataFrame) -> bool:
     """True while some node has two parents or is both a parent and a child."""
-    ends = links.select(F.col("u").alias("n"), F.lit(1).alias("child")).unionByName(
-        links.select(F.col("v").alias("n"), F.lit(0).alias("child"))
-    )
+    pair = F.explode(F.array(F.struct(F.col("u").alias("n"), F.lit(1).alias("child")), F.struct(F.col("v").alias("n"), F.lit(0).alias("child"))))
+    ends = links.select(pair.alias("p")).select("p.n", "p.child")
     per = ends.groupBy("n").agg(F.sum("child").alias("up"), F.min("child").alias("lowest"))
     return not per.where("up > 1 or (up = 1 and lowest = 0)").isEmpty()
 

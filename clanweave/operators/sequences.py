@@ -141,7 +141,10 @@ def select_family(
     domain: bool = False,
     region: str = "",
 ) -> FamilySelection:
-    """Members of the listed families over several match tables (``pfam``, ``interpro``, ``gene3d``, ``ssf``)."""
+    """Members of the listed families over several match tables (``pfam``, ``interpro``, ``gene3d``, ``ssf``).
+
+    Matches of an isoform count for its protein, so the suffix goes before anything is joined.
+    """
     spark = clans.sparkSession
     listed = spark.createDataFrame([(f, i) for i, f in enumerate(families)], "family string, pos int")
     plain = expand_clans(listed, clans)
@@ -149,11 +152,11 @@ def select_family(
     need_info = fraction > 1 or no_fragments or region == "cterminal"
     parts, size = [], None
     for matches in tables.values():
-        got = family_members(plain, matches.select("id", "accession", "start", "end"), uniref if seed else None, annotations if need_info else None)
+        clean = matches.select("id", S.strip_isoform("accession").alias("accession"), "start", "end")
+        got = family_members(plain, clean, uniref if seed else None, annotations if need_info else None)
         if no_fragments:
             got = got.where(~F.col("Fragment"))
         order = ["id", "accession", "start", "end"]
-        got = got.withColumn("accession", S.strip_isoform("accession"))
         if not domain:
             got = isoform_dedup(got, ["id", "start", "end"])
         every = got

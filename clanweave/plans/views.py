@@ -55,7 +55,9 @@ class Views:
 
     @property
     def kept(self) -> DataFrame:
-        return E.filter_edges(self.edges, by="eval", min_value=MIN_SCORE)
+        """Edges at or above the score: for one pair the score rises with the bitscore, so filtering first is the same."""
+        passing = E.filter_edges(E.drop_self_edges(E.canonicalize_edges(self.hits)), by="eval", min_value=MIN_SCORE)
+        return E.best_edge_per_pair(passing)
 
     @property
     def nodes(self) -> DataFrame:
