@@ -142,16 +142,18 @@ def order_cluster_sizes(sizes: DataFrame) -> DataFrame:
 def bayes_adjust(counts: DataFrame, family_medians: DataFrame, overlaps: DataFrame, types: DataFrame) -> DataFrame:
     """Quasi-marker counts less the medians of the true- and junction-marker families they overlap, at least 0.
 
-    ``overlaps(marker, family)``; ``types(family, type)``; families without a quasi marker keep their median.
+    Per sample. ``overlaps(marker, family)``; ``types(family, type)``; families without a quasi marker keep their
+    median.
     """
-    known = overlaps.join(types, "family").join(family_medians.select("family", "median"), "family")
-    sub = known.groupBy("marker").agg(
+    med = family_medians.select("sample", "family", "median")
+    known = overlaps.join(types, "family").join(med, "family")
+    sub = known.groupBy("sample", "marker").agg(
         F.coalesce(F.sum(F.when(F.col("type").isin("TM", "JM"), F.col("median"))), F.lit(0.0)).alias("_sub"),
         F.max(F.when(F.col("type") == "QM", F.col("family"))).alias("family"),
     )
-    new = counts.select("marker", "norm").join(sub, "marker").where("family is not null").select("family", F.greatest(F.lit(0.0), F.col("norm") - F.col("_sub")).alias("_new"))
-    best = new.groupBy("family").agg(F.max("_new").alias("_new"))
-    return family_medians.join(best, "family", "left").select("family", F.coalesce("_new", "median").alias("count"))
+    new = counts.select("sample", "marker", "norm").join(sub, ["sample", "marker"]).where("family is not null")
+    best = new.groupBy("sample", "family").agg(F.max(F.greatest(F.lit(0.0), F.col("norm") - F.col("_sub"))).alias("_new"))
+    return med.join(best, ["sample", "family"], "left").select("sample", "family", F.coalesce("_new", "median").alias("count"))
 
 
 # ---- networks and metadata ------------------------------------------------------------------------

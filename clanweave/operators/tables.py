@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from clanweave import schemas
 from clanweave.functions import scalar as S
+from clanweave.functions.ordered import ordered_scan
 from clanweave.operators.sequences import foreign_id_filter, remove_ids
+from clanweave.sources.ordered import ORDER, records
 
 
 # ---- annotations ----------------------------------------------------------------------------------
@@ -93,18 +95,18 @@ def build_family_tables(matches: DataFrame, types: DataFrame, tree: DataFrame, l
 def build_interpro_tree(spark: SparkSession, path: str) -> DataFrame:
     """``(family, parent, is_leaf)`` from the indented tree (two dashes a level).
 
-    The tree is a dictionary file of some ten thousand lines, read whole; the parent is the last line of the level
-    above it, a running maximum per level.
+    The parent is the last line of the level above that precedes a line. Per level, the lines above are counted
+    along the file order; a line's count names its parent, which is then an equi-join.
     """
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
-    fam = F.regexp_extract("text", r"^-*(IPR\d+)", 1)
-    depth = F.expr("length(regexp_extract(text, '^(-*)', 1)) div 2")
-    rows = lines.select("line", fam.alias("family"), depth.alias("depth")).where("family <> ''")
-    as_child = rows.select("line", "family", F.col("depth").alias("level"), F.lit(None).cast("string").alias("above"))
-    as_parent = rows.select("line", F.lit(None).cast("string").alias("family"), (F.col("depth") + 1).alias("level"), F.col("family").alias("above"))
-    w = Window.partitionBy("level").orderBy("line")
-    tree = as_child.unionByName(as_parent).withColumn("parent", F.last("above", ignorenulls=True).over(w)).where("family is not null")
-    tree = tree.groupBy("family").agg(F.max("parent").alias("parent"))
+    lines = records(spark, path)
+    fam = F.regexp_extract("value", r"^-*(IPR\d+)", 1)
+    depth = F.expr("length(regexp_extract(value, '^(-*)', 1)) div 2")
+    rows = lines.select(*ORDER, fam.alias("family"), depth.alias("depth")).where("family <> ''")
+    role = F.explode(F.array(F.struct(F.col("depth").alias("level"), F.lit(0).cast("long").alias("above")), F.struct((F.col("depth") + 1).alias("level"), F.lit(1).cast("long").alias("above"))))
+    both = rows.select(*ORDER, "family", role.alias("r")).select(*ORDER, "family", "r.level", "r.above")
+    counted = ordered_scan(both, ["level"], [*ORDER, "above"], sums={"_k": F.col("above")})
+    parents = counted.where("above = 1").select("level", "_k", F.col("family").alias("parent"))
+    tree = counted.where("above = 0").join(parents, ["level", "_k"], "left").groupBy("family").agg(F.max("parent").alias("parent"))
     inner = tree.where("parent is not null").select(F.col("parent").alias("family")).distinct().withColumn("_inner", F.lit(True))
     return tree.join(inner, "family", "left").select("family", "parent", F.col("_inner").isNull().alias("is_leaf"))
 

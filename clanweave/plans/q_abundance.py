@@ -156,28 +156,25 @@ def _(v):
     return B.annotate_network_abundance(v.metanode, v.abundance, cdhit(v), samples)
 
 
-BAYES = f"""{FULL}, one as (select * from fam where sample = (select min(sample) from fam)), onec as (select * from counts where sample = (select min(sample) from fam) and type = 'QM'),
-    kinds as (select 'A' || (1000000 + p_partkey) as family, case p_partkey % 3 when 0 then 'QM' when 1 then 'TM' else 'JM' end as type from part),
+BAYES = f"""{FULL}, kinds as (select 'A' || (1000000 + p_partkey) as family, case p_partkey % 3 when 0 then 'QM' when 1 then 'TM' else 'JM' end as type from part),
     over_ as (select distinct marker, family from (select marker, family from markers where type = 'QM' union all
     select marker, 'A' || (substr(family, 2)::bigint + 1) from markers where type = 'QM')),
-    sub as (select marker, coalesce(sum(median) filter (k.type in ('TM', 'JM')), 0) as sub, max(case when k.type = 'QM' then o.family end) as family from over_ o join kinds k on k.family = o.family
-    join one f on f.family = o.family group by 1), new as (select s.family, max(greatest(0, norm - sub)) as n from onec c join sub s on s.marker = c.marker where s.family is not null group by 1)"""
+    sub as (select f.sample, marker, coalesce(sum(median) filter (k.type in ('TM', 'JM')), 0) as sub, max(case when k.type = 'QM' then o.family end) as family from over_ o join kinds k on k.family = o.family
+    join fam f on f.family = o.family group by 1, 2), new as (select s.sample, s.family, max(greatest(0, norm - sub)) as n from counts c join sub s on s.marker = c.marker and s.sample = c.sample
+    where s.family is not null and c.type = 'QM' group by 1, 2)"""
 
 
-@query("ab12_bayes_adjust", f"with {BAYES} select o.family, round(coalesce(n, median), 4) as count from one o left join new on new.family = o.family")
+@query("ab12_bayes_adjust", f"with {BAYES} select o.sample, o.family, round(coalesce(n, median), 4) as count from fam o left join new on new.family = o.family and new.sample = o.sample")
 def _(v):
     from clanweave.plans.views import acc
 
-    first = v.marker_hits.agg(F.min("sample")).first()[0]
     c = counts(v)
-    lowest = B.family_abundance(c, v.markers)
-    lowest = lowest.where(F.col("sample") == first)
     k = F.col("p_partkey") % 3
     kinds = v.table("part").select(acc("p_partkey").alias("family"), F.when(k == 0, "QM").when(k == 1, "TM").otherwise("JM").alias("type"))
     q = v.markers.where("type = 'QM'")
     nxt = F.concat(F.lit("A"), (F.substring("family", 2, 20).cast("long") + 1).cast("string"))
     over = q.select("marker", "family").unionByName(q.select("marker", nxt.alias("family"))).distinct()
-    return B.bayes_adjust(c.where((F.col("sample") == first) & (F.col("type") == "QM")), lowest, over, kinds).withColumn("count", F.round("count", 4))
+    return B.bayes_adjust(c.where("type = 'QM'"), B.family_abundance(c, v.markers), over, kinds).withColumn("count", F.round("count", 4))
 
 
 @query("ag14_order_cluster_sizes", f"with {CMAP} select cluster, count(*) as size, row_number() over (order by count(*) desc, cluster) as position from cmap group by 1")

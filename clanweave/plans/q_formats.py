@@ -132,12 +132,11 @@ def _(v):
     return R.read_id_list(v.spark, stored(v, v.table("orders").select(line.alias("value")), "ids"))
 
 
-@query("src08_read_id_evalue_list", "select 'A' || (1000000 + n_nationkey) as id, n_nationkey / 4.0::double as evalue, n_nationkey::bigint as ord from nation")
+@query("src08_read_id_evalue_list", "select 'A' || (1000000 + p_partkey) as id, p_size / 4.0::double as evalue, row_number() over (order by p_partkey) - 1 as ord from part")
 def _(v):
-    n = F.col("n_nationkey")
-    item = F.concat(acc(n), F.lit("|"), (n / 4.0).cast("string"))
-    line = v.table("nation").groupBy().agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", item.alias("i")))), lambda s: s["i"]), ",").alias("value"))
-    return R.read_id_evalue_list(v.spark, stored(v, line, "evalues"))
+    item = F.concat(acc("p_partkey"), F.lit("|"), (F.col("p_size") / 4.0).cast("string"), F.lit(","))
+    lines = v.table("part").repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey").select(item.alias("value"))
+    return R.read_id_evalue_list(v.spark, stored(v, lines, "evalues"))
 
 
 def matrix_path(v):

@@ -201,37 +201,36 @@ def _(v):
 
 @query(
     "etl04_build_interpro_tree",
-    """select 'IPR' || (1000 + n_nationkey) as family, case when n_nationkey % 5 <> 0 then 'IPR' || (1000 + case when n_nationkey % 5 in (1, 3) then n_nationkey - n_nationkey % 5 else n_nationkey - 1 end) end as parent,
-    not (n_nationkey % 5 in (0, 1, 3)) as is_leaf from nation""",
+    """select 'IPR' || (1000 + p_partkey) as family, case when p_partkey % 5 <> 0 then 'IPR' || (1000 + case when p_partkey % 5 in (1, 3) then p_partkey - p_partkey % 5 else p_partkey - 1 end) end as parent,
+    not (p_partkey % 5 in (0, 1, 3)) as is_leaf from part""",
 )
 def _(v):
     path = scratch_path(v.spark, "tree")
-    n = F.col("n_nationkey")
+    n = F.col("p_partkey")
     dashes = F.when(n % 5 == 0, "").when((n % 5).isin(1, 3), "--").otherwise("----")
-    lines = v.table("nation").select(n, F.concat(dashes, F.lit("IPR"), (n + 1000).cast("string"), F.lit("::x::")).alias("line"))
-    whole = lines.groupBy().agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "line"))), lambda s: s["line"]), "\n").alias("value"))
-    whole.write.text(path)
+    lines = v.table("part").repartitionByRange(4, n).sortWithinPartitions(n)
+    lines.select(F.concat(dashes, F.lit("IPR"), (n + 1000).cast("string"), F.lit("::x::")).alias("value")).write.text(path)
     return T.build_interpro_tree(v.spark, path)
 
 
 def embl_records(v):
-    """One contig per supplier with one coding feature per order line; every third names no accession."""
-    g = v.table("lineitem").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("k"), "l_orderkey", "l_linenumber", "l_quantity").withColumn("o", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    """One contig per 100 orders with one coding feature per order line; every third names no accession."""
+    g = v.table("lineitem").select(F.expr("l_orderkey div 100").alias("c"), F.col("l_partkey").alias("k"), "l_orderkey", "l_linenumber", "l_quantity").withColumn("o", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     where = F.concat((F.col("o") * 3).cast("string"), F.lit(".."), (F.col("o") * 3 + F.col("l_quantity").cast("int")).cast("string"))
     place = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("complement("), where, F.lit(")"))).otherwise(where)
     named = F.when(F.col("k") % 3 != 2, F.concat(F.lit('\nFT                   /db_xref="UniProtKB/TrEMBL:'), acc("k"), F.lit('"'))).otherwise("")
     prot = F.concat(F.lit('\nFT                   /protein_id="CAA'), F.lpad((F.col("k") % 100000).cast("string"), 5, "0"), F.lit('"'))
     feature = F.concat(F.lit("FT   CDS             "), place, prot, named, F.lit('\nFT                   /translation="MK"'))
-    # A contig is one record of the format, so its text is one value by definition of the fixture.
-    per = g.groupBy("s").agg(F.array_sort(F.collect_list(F.struct("o", "k", "l_quantity", feature.alias("f")))).alias("fs"))
-    kind = F.when(F.col("s") % 2 == 0, "circular").otherwise("linear")
-    return per.select(F.concat(F.lit("ID   CT"), F.col("s").cast("string"), F.lit("; SV 1; "), kind, F.lit("; genomic DNA; STD; PRO; 10 BP.\nXX\n"), F.array_join(F.transform("fs", lambda x: x["f"]), "\n"), F.lit("\n//")).alias("value"))
+    # A contig is one record of the format; a hundred orders have some hundred lines.
+    per = g.groupBy("c").agg(F.array_sort(F.collect_list(F.struct("o", "k", "l_quantity", feature.alias("f")))).alias("fs"))
+    kind = F.when(F.col("c") % 2 == 0, "circular").otherwise("linear")
+    return per.select(F.concat(F.lit("ID   CT"), F.col("c").cast("string"), F.lit("; SV 1; "), kind, F.lit("; genomic DNA; STD; PRO; 10 BP.\nXX\n"), F.array_join(F.transform("fs", lambda x: x["f"]), "\n"), F.lit("\n//")).alias("value"))
 
 
 @query(
     "etl05_build_gene_positions",
-    """with g as (select *, l_orderkey * 10 + l_linenumber as o from lineitem), n as (select *, row_number() over (partition by l_suppkey order by o, l_partkey, l_quantity) as num from g)
-    select 'CT' || l_suppkey as "ID", case when l_partkey % 3 <> 2 then 'A' || (1000000 + l_partkey) else m.u end as "AC", num::int as "NUM", (l_suppkey % 2)::int as "TYPE", case when l_linenumber % 2 = 0 then 0 else 1 end as "DIRECTION",
+    """with g as (select *, l_orderkey // 100 as c, l_orderkey * 10 + l_linenumber as o from lineitem), n as (select *, row_number() over (partition by c order by o, l_partkey, l_quantity) as num from g)
+    select 'CT' || c as "ID", case when l_partkey % 3 <> 2 then 'A' || (1000000 + l_partkey) else m.u end as "AC", num::int as "NUM", (c % 2)::int as "TYPE", case when l_linenumber % 2 = 0 then 0 else 1 end as "DIRECTION",
     (o * 3)::int as start, (o * 3 + l_quantity)::int as stop from n left join (select foreign_id, min(uniprot_id) as u from idmapping where foreign_id_type = 'embl-cds' group by 1) m on m.foreign_id = 'CAA' || lpad((l_partkey % 100000)::varchar, 5, '0')
     where l_partkey % 3 <> 2 or m.u is not null""",
 )
@@ -241,7 +240,7 @@ def _(v):
     return T.build_gene_positions(R.read_embl(v.spark, path), v.idmapping)
 
 
-@query("src16_read_embl", "select 'CT' || l_suppkey as contig, (l_suppkey % 2)::int as type, count(*)::int as features from lineitem group by 1, 2")
+@query("src16_read_embl", "select 'CT' || (l_orderkey // 100) as contig, ((l_orderkey // 100) % 2)::int as type, count(*)::int as features from lineitem group by 1, 2")
 def _(v):
     path = scratch_path(v.spark, "embl")
     embl_records(v).write.text(path)
@@ -249,15 +248,13 @@ def _(v):
 
 
 def taxon_xml(v):
-    """One taxon element per nation: its region as superkingdom, an unranked lineage step and one unranked child."""
-    n, r = v.table("nation"), v.table("region")
-    j = n.join(r, n.n_regionkey == r.r_regionkey)
-    k = F.col("n_nationkey")
+    """One taxon element per part: its brand as superkingdom, an unranked lineage step and one unranked child."""
+    k = F.col("p_partkey")
     body = F.concat(
-        F.lit('<taxon taxId="'), (k + 1000).cast("string"), F.lit('" rank="genus" scientificName="'), F.col("n_name"), F.lit('"><lineage><taxon taxId="'), (F.col("n_regionkey") + 10).cast("string"),
-        F.lit('" rank="superkingdom" scientificName="'), F.col("r_name"), F.lit('"/><taxon taxId="99" scientificName="none"/></lineage><children><taxon taxId="'), (k + 5000).cast("string"), F.lit('" scientificName="sp '), F.col("n_name"), F.lit('"/></children></taxon>'),
+        F.lit('<taxon taxId="'), (k + 1000).cast("string"), F.lit('" rank="genus" scientificName="'), F.col("p_name"), F.lit('"><lineage><taxon taxId="'), (F.col("p_size") + 10).cast("string"),
+        F.lit('" rank="superkingdom" scientificName="'), F.col("p_brand"), F.lit('"/><taxon taxId="99" scientificName="none"/></lineage><children><taxon taxId="'), (k + 50_000_000).cast("string"), F.lit('" scientificName="sp '), F.col("p_name"), F.lit('"/></children></taxon>'),
     )
-    return j.select(body.alias("value"))
+    return v.table("part").select(body.alias("value"))
 
 
 def taxa(v):
@@ -266,15 +263,15 @@ def taxa(v):
     return R.read_taxonomy_xml(v.spark, path)
 
 
-@query("src15_read_taxonomy_xml", "select n_nationkey + 1000 as tax_id, 'genus' as rank, n_name as name, 2 as steps, 1 as kids from nation")
+@query("src15_read_taxonomy_xml", "select (p_partkey + 1000)::int as tax_id, 'genus' as rank, p_name as name, 2 as steps, 1 as kids from part")
 def _(v):
     return taxa(v).select("tax_id", "rank", "name", F.size("lineage").alias("steps"), F.size("children").alias("kids"))
 
 
 @query(
     "etl06_build_taxonomy",
-    """select n_nationkey + 1000 as "Taxonomy_ID", r_name as "Domain", 'NA' as "Genus", n_name as "Species" from nation join region on n_regionkey = r_regionkey
-    union all select n_nationkey + 5000, 'NA', 'NA', 'sp ' || n_name from nation""",
+    """select (p_partkey + 1000)::int as "Taxonomy_ID", p_brand as "Domain", 'NA' as "Genus", p_name as "Species" from part
+    union all select (p_partkey + 50000000)::int, 'NA', 'NA', 'sp ' || p_name from part""",
 )
 def _(v):
     return T.build_taxonomy(taxa(v)).select("Taxonomy_ID", "Domain", "Genus", "Species")

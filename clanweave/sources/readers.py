@@ -123,10 +123,11 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_id_evalue_list(spark: SparkSession, path: str) -> DataFrame:
-    """``(id, evalue, ord)`` of a ``id|evalue`` list; a list is one parameter line."""
-    items = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"[\r\n,]+")).alias("ord", "item"))
+    """``(id, evalue, ord)`` of a ``id|evalue`` list separated by commas or line ends; ``ord`` is the 0-based position."""
+    items = records(spark, path).select(*ORDER, F.posexplode(F.split("value", r"[\r\n,]+")).alias("_pos", "item")).where(F.trim("item") != "")
     parts = F.split("item", r"\|")
-    return items.where(F.trim("item") != "").select(F.trim(parts[0]).alias("id"), F.get(parts, F.lit(1)).try_cast("double").alias("evalue"), F.col("ord").cast("long").alias("ord"))
+    placed = ordered_scan(items, [], [*ORDER, "_pos"], rank="_r")
+    return placed.select(F.trim(parts[0]).alias("id"), F.get(parts, F.lit(1)).try_cast("double").alias("evalue"), (F.col("_r") - 1).alias("ord"))
 
 
 def read_abundance(spark: SparkSession, path: str, merged: bool = False) -> DataFrame:
