@@ -41,10 +41,16 @@ def ordered_scan(
     for kind, exprs in (("s", sums), ("t", totals), ("l", lags), ("f", leads)):
         for name, expr in exprs.items():
             placed = placed.withColumn(f"_{kind}_{name}", expr)
+    # NULL groups get a stand-in and a flag, so that windows and the final join share one plain hash partitioning.
+    keys, types = [], dict(df.dtypes)
+    for i, b in enumerate(by):
+        stand_in = F.lit("") if types[b] == "string" else F.lit(0)
+        placed = placed.withColumn(f"_b{i}", F.coalesce(F.col(b), stand_in.cast(types[b]))).withColumn(f"_z{i}", F.col(b).isNull())
+        keys += [f"_b{i}", f"_z{i}"]
     placed = placed.repartitionByRange(*[F.col(b) for b in by], *order)
     placed = materialize(placed.withColumn("_part", F.spark_partition_id()), "scan")
 
-    stretch = ["_part", *by]
+    stretch = ["_part", *keys]
     inside = Window.partitionBy(*stretch).orderBy(*order)
     local = placed.withColumn("_rn", F.row_number().over(inside).cast("long"))
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -64,9 +70,9 @@ def ordered_scan(
     aggs += [F.min_by(f"_f_{n}", "_rn").alias(f"_ef_{n}") for n in leads]
     base = local if (lags or leads) else placed
     stitches = base.groupBy(*stretch).agg(*aggs)
-    across = Window.partitionBy(*by).orderBy("_part")
+    across = Window.partitionBy(*keys).orderBy("_part")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
+    whole = Window.partitionBy(*keys)
     carry = [F.col(c).alias(f"_k_{c}") for c in stretch]
     carry.append(F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_c_cnt"))
     carry += [F.sum(f"_es_{n}").over(before).alias(f"_c_s_{n}") for n in sums]
@@ -75,7 +81,7 @@ def ordered_scan(
     carry += [F.lead(f"_ef_{n}").over(across).alias(f"_c_f_{n}") for n in leads]
     carried = stitches.select(*carry)
 
-    on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in stretch]
+    on = [F.col(c) == F.col(f"_k_{c}") for c in stretch]
     out = local.join(carried, on, "inner")
     cols = [F.col(c) for c in payload]
     if rank:
