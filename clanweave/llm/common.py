@@ -24,6 +24,14 @@ def id_text(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def map_arrow(df: DataFrame, schema: str | StructType, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]]) -> DataFrame:
     """``mapInArrow`` whose function yields dicts of columns (lists, numpy or Arrow arrays)."""
     struct = _parse_datatype_string(schema) if isinstance(schema, str) else schema

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clanweave.llm import counts, id_store, spm
+from clanweave.llm import counts, decontaminate, id_store, line_dedup, simhash, spm, substring_dedup
 from clanweave.llm.common import table
 
 QUERIES, ORACLE = {}, {}
@@ -33,6 +33,34 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+PUNCT = "regexp_replace({}, '[\\x09-\\x0D\\x20-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7E]+', ' ', 'g')"
+WORDS = "list_filter(string_split_regex(coalesce({}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query(
+    "op1_benchmark_decontamination",
+    f"""
+    with words as (
+      select 0 as side, doc_id as id, {WORDS.format(PUNCT.format(LOWER.format("text")))} as w from documents
+      union all select 1, item_id, {WORDS.format(PUNCT.format(LOWER.format("text")))} from benchmark),
+    shingles as (
+      select distinct side, id, array_to_string(w[i : i + 4], ' ') as s
+      from (select side, id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from words where len(w) > 0)),
+    sizes as (select id, count(*) as n from shingles where side = 1 group by id),
+    found as (
+      select d.id as doc_id, i.id as item_id, count(*) as k
+      from shingles d join shingles i on d.side = 0 and i.side = 1 and d.s = i.s group by d.id, i.id),
+    leaks as (select doc_id, item_id from found join sizes on item_id = sizes.id where k >= 0.8 * n)
+    select documents.doc_id, count(item_id) as n_items, coalesce(string_agg(item_id::varchar, ',' order by item_id), '') as item_ids
+    from documents left join leaks on documents.doc_id = leaks.doc_id group by documents.doc_id""",
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_items(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.size("leaks").cast("long").alias("n_items"), F.array_join(F.transform("leaks", lambda x: x["item_id"].cast("string")), ",").alias("item_ids"))
+
+
 @query("op4_id_store")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_store.store_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
@@ -46,3 +74,45 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query("op6_simhash_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), distance=4, width=4)
+
+
+@query(
+    "op8_substring_dedup",
+    f"""
+    with words as (select doc_id, {WORDS.format("text")} as w from documents),
+    windows as (
+      select doc_id, i, array_to_string(w[i : i + 12], ' ') as s
+      from (select doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) as i from words)),
+    first as (select s, min(doc_id) as least from windows group by s having min(doc_id) <> max(doc_id)),
+    hits as (select distinct doc_id, unnest(range(i, i + 13)) as i from windows join first using (s) where doc_id > least),
+    placed as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from words),
+    kept as (
+      select placed.doc_id, string_agg(word, ' ' order by placed.i) as t, count(*) as n
+      from placed left join hits on placed.doc_id = hits.doc_id and placed.i = hits.i where hits.i is null group by placed.doc_id)
+    select words.doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+    from words left join kept on words.doc_id = kept.doc_id""",
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"), width=13)
+
+
+@query(
+    "op10_line_dedup",
+    f"""
+    with lines as (
+      select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i
+      from documents),
+    keyed as (select *, {LOWER.format(f"trim(line, {BLANK})")} as key from lines),
+    frequent as (select key, max(doc_id) as stays from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+    judged as (select keyed.*, frequent.key is not null and doc_id <> stays as gone from keyed left join frequent using (key))
+    select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+    from judged group by doc_id""",
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
