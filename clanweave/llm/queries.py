@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clanweave.llm import counts, decontaminate, id_store, line_dedup, simhash, spm, substring_dedup
+from clanweave.llm import counts, decontaminate, id_store, line_dedup, pii, quality, secrets, simhash, spm, substring_dedup
 from clanweave.llm.common import table
 
 QUERIES, ORACLE = {}, {}
@@ -61,6 +61,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("leaks").cast("long").alias("n_items"), F.array_join(F.transform("leaks", lambda x: x["item_id"].cast("string")), ",").alias("item_ids"))
 
 
+@query("op2_quality_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    wanted = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+    return judged.select("doc_id", *[F.col(f"verdict.{n}").alias(n) for n in wanted])
+
+
+@query("op3_private_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op4_id_store")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_store.store_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
@@ -81,6 +93,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), distance=4, width=4)
 
 
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op8_substring_dedup",
     f"""
