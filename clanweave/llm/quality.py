@@ -101,7 +101,8 @@ def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: flo
     out = out.withColumn("_q_failed", failed)
     kept = ~F.col("_q_failed") & (F.coalesce("_q_score", F.lit(float("-inf"))) >= threshold)
     verdict = F.struct(*[F.col(f"_q_{n}").alias(n) for n in counts], F.col("_q_failed").alias("base_failed"), F.col("_q_score").alias("score"), kept.alias("kept"))
-    return out.select("_q_row.*", verdict.alias(row))
+    # The generator keeps a later filter on the verdict from being pushed below, where every count would be computed again.
+    return out.select(F.explode(F.array(F.struct("_q_row", verdict.alias("_q_verdict")))).alias("_q")).select("_q._q_row.*", F.col("_q._q_verdict").alias(row))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
