@@ -80,15 +80,21 @@ def is_fragment(de) -> Column:
     return _c(de).rlike(r"Flags:.*Fragment")
 
 
+# The names that head a description block, and the words that end a name in it.
+NAME_KEYS, PART_KEYS = ("RecName", "SubName"), ("RecName:", "SubName:", "AltName:", "Short:", "Flags:")
+
+
 def clean_description(de) -> Column:
-    """Readable name out of a ``RecName: Full=…`` / ``SubName: Full=…`` description block."""
-    d = F.regexp_replace(_c(de), r"[<>]", "")
-    d = F.regexp_replace(F.regexp_replace(d, r"\s+", " "), "&", "and")
-    named = d.rlike(r"^\s*(RecName|SubName):\s*Full=")
-    full = F.regexp_extract(d, r"^\s*(?:RecName|SubName):\s*Full=(.*)$", 1)
-    for tail in (r"\{.*\}", r"Short:.*", r"Flags:.*$", r"AltName:.*", r"RecName:.*", r"="):
-        full = F.regexp_replace(full, tail, "")
-    return F.trim(F.regexp_replace(F.when(named, full).otherwise(d), r"\{.*?\}", ""))
+    """Readable name out of a ``RecName: Full=…`` / ``SubName: Full=…`` description block.
+
+    The block is read as parts, each from one key to the next; the name is the first part's value without evidence in braces.
+    A text that is no such block is its own name.
+    """
+    text = F.replace(F.regexp_replace(F.translate(_c(de), "<>", ""), r"\s+", " "), F.lit("&"), F.lit("and"))
+    key = rf"^\s*(?:{'|'.join(NAME_KEYS)}):\s*Full="
+    parts = F.split(F.regexp_replace(text, key, ""), "|".join(PART_KEYS))
+    name = F.replace(F.regexp_replace(parts[0], r"\{.*\}|\{[^{}]*$", ""), F.lit("="), F.lit(""))
+    return F.trim(F.when(text.rlike(key), name).otherwise(F.regexp_replace(text, r"\{[^}]*\}", "")))
 
 
 def clean_organism(os) -> Column:

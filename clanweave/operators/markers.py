@@ -61,92 +61,95 @@ def true_markers(counts: DataFrame, seqs: DataFrame, min_len: int = 8, max_total
     return runs.join(seqs.select("family", F.col("seq").alias("_s")), "family").select("family", "start", "end", S.subsequence("_s", "start", "end").alias("seq"), "ordinal")
 
 
-def junction_markers(
-    seqs: DataFrame, hits: DataFrame, marker_len: int = 33, short: int | None = None, x_limit: int = 1, max_candidates: int = 1000, keep: int = 3
-) -> DataFrame:
-    """Windows not inside any single hit, grown to ``marker_len``; the ``keep`` longest per family.
-
-    Only the furthest end per start position of the hits matters for "inside a hit", so at most one row per
-    position reaches a family.
+def junction_windows(residues: np.ndarray, reach: np.ndarray, marker_len: int, short: int, x_limit: int) -> np.ndarray:
+    """All junction windows of one sequence as rows (first, last), 1-based, from left to right.
+
+    A seed is a stretch of ``short`` residues with at most ``x_limit`` ambiguous ones that no single hit covers, even if it is moved by
+    one residue to the left (from the third residue on) or made one longer. ``reach[p]`` is the furthest end of the hits that start at p or before.
+    Seeds are taken from the left, each at least ``marker_len`` after the first residue of the window before it. A window extends its seed to the right
+    and, if it is still short, to the left: at most ``marker_len`` residues away, within the sequence, and no further than the residue
+    with which the window holds ``x_limit`` ambiguous ones.
+    """
+    n = len(residues)
+    first = np.arange(1, max(n - short, 0) + 1)
+    last = first + short - 1
+    ambiguous = np.flatnonzero(residues) + 1
+    upto = np.concatenate([[0], np.cumsum(residues)])
+    covered = (reach[first] >= last) | ((first > 2) & (reach[first - 1] >= last - 1)) | (reach[first] >= last + 1)
+    seeds = first[~covered & (upto[last] - upto[first - 1] <= x_limit)]
+    found, at = [], 0
+    while n >= marker_len and at < len(seeds):
+        left, right = int(seeds[at]), int(seeds[at]) + short - 1
+        # the ambiguous residue that fills the window, counted from its left end, then from its right end
+        full = int(upto[left - 1]) + x_limit - 1
+        stop = ambiguous[full] if full < len(ambiguous) else n
+        right = int(min(left + marker_len, n, max(right, stop)))
+        if right - left + 1 < marker_len:
+            full = int(upto[right]) - x_limit
+            stop = ambiguous[full] if full >= 0 else 1
+            left = int(max(right - marker_len, 1, min(left, stop)))
+        found.append((left, right))
+        at = int(np.searchsorted(seeds, left + marker_len))
+    return np.array(found, dtype=np.int64).reshape(-1, 2)
+
+
+def junction_markers(seqs: DataFrame, hits: DataFrame, marker_len: int = 33, short: int | None = None, x_limit: int = 1, keep: int = 3) -> DataFrame:
+    """The ``keep`` longest junction windows of each family (see ``junction_windows``); ``keep`` is part of what the operator reports.
+
+    Only the furthest end per start position of the hits matters for "inside a hit", so at most one row per position reaches a family.
     """
     short = int(0.40 * marker_len) if short is None else short
     far = hits.groupBy(F.col("query").alias("family"), "qstart").agg(F.max("qend").alias("qend"))
     spans = far.groupBy("family").agg(F.collect_list(F.struct("qstart", "qend")).alias("spans"))
     rows = seqs.select("family", "seq").join(spans, "family", "left")
 
-    def candidates(seq: str, spans) -> list[tuple[int, int]]:
-        n, found, start = len(seq), [], 1
-        if n < marker_len:
-            return found
-        reach = np.zeros(n + 2, dtype=np.int64)
-        for s in spans if spans is not None else ():
-            at = min(s["qstart"], n + 1)
-            reach[at] = max(reach[at], s["qend"])
-        reach = np.maximum.accumulate(reach)
-        inside = lambda a, b: reach[a] >= b
-        x = np.concatenate([[0], np.cumsum(np.frombuffer(seq.encode("ascii", "replace"), dtype="S1") == b"X")])
-        xs = lambda a, b: x[b] - x[a - 1]
-        while len(found) < max_candidates and start + short - 1 < n:
-            end = start + short - 1
-            blocked = xs(start, end) > x_limit or inside(start, end)
-            blocked = blocked or (start > 2 and inside(start - 1, end - 1)) or (end + 1 <= n and inside(start, end + 1))
-            if blocked:
-                start += 1
-                continue
-            left = start
-            while end - left < marker_len and end < n and xs(left, end) < x_limit:
-                end += 1
-            short_of = end - left + 1 < marker_len
-            while short_of and end - left < marker_len and left > 1 and xs(left, end) < x_limit:
-                left -= 1
-            found.append((left, end))
-            start = left + marker_len
-        return found
+    def windows(seq: str, spans) -> np.ndarray:
+        reach = np.zeros(len(seq) + 2, dtype=np.int64)
+        if spans is not None and len(spans):
+            np.maximum.at(reach, np.minimum([s["qstart"] for s in spans], len(seq) + 1), [s["qend"] for s in spans])
+        residues = np.frombuffer(seq.encode("ascii", "replace"), dtype="S1") == b"X"
+        found = junction_windows(residues, np.maximum.accumulate(reach), marker_len, short, x_limit)
+        size = found[:, 1] - found[:, 0] + 1
+        best = np.argsort(-size, kind="stable")[:keep]
+        return found[best[size[best] >= short * 1.1]]
 
     def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for fam, seq, spans_ in zip(pdf["family"], pdf["seq"], pdf["spans"]):
-                best = sorted(candidates(seq, spans_), key=lambda t: t[0] - t[1])[:keep]
-                best = [t for t in best if t[1] - t[0] + 1 >= short * 1.1]
-                out += [(fam, a, b, seq[a - 1 : b], i + 1) for i, (a, b) in enumerate(best)]
+                out += [(fam, a, b, seq[a - 1 : b], i + 1) for i, (a, b) in enumerate(windows(seq, spans_).tolist())]
             yield pd.DataFrame(out, columns=["family", "start", "end", "seq", "ordinal"])
 
     return rows.mapInPandas(grow, "family string, start int, end int, seq string, ordinal int")
 
 
 def quasi_markers(counts: DataFrame, seqs: DataFrame, window: int = 33, threshold: float = 60.0, max_total: int = 300) -> DataFrame:
-    """The window with the least Σ overlap^¼ per family, grown right, then left, while Σ ≤ threshold and length < max_total."""
-    size = max(window, 12)
-    listed = counts.groupBy("family").agg(F.array_sort(F.collect_list(F.struct("pos", "n"))).alias("c"))
-    rows = seqs.select("family", "seq").join(listed, "family").select("family", "seq", F.col("c.n").alias("n"))
+    """The stretch of least overlap of each family, widened as far as the threshold allows; columns only.
 
-    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for fam, seq, n in zip(pdf["family"], pdf["seq"], pdf["n"]):
-                total = np.concatenate([[0.0], np.cumsum(np.power(np.asarray(n, dtype=float), 0.25))])
-                length = len(total) - 1
-                last = max(length - size, 0)
-                sums = [total[min(i + size, length)] - total[i] for i in range(last + 1)]
-                a = int(np.argmin(np.round(sums, 9)))
-                b = a + size
-                weight = lambda i, j: total[min(j, length)] - total[i]
-                stopped = False
-                while not stopped and b < len(seq) - 1 and min(b + 1, length) - a < max_total:
-                    if weight(a, b + 1) <= threshold:
-                        b += 1
-                    else:
-                        stopped = True
-                while not stopped and a >= 1 and min(b, length) - a + 1 < max_total:
-                    if weight(a - 1, b) <= threshold:
-                        a -= 1
-                    else:
-                        stopped = True
-                out.append((fam, a + 1, min(b, length), seq[a:b], int(weight(a, b))))
-            yield pd.DataFrame(out, columns=["family", "start", "end", "seq", "quasi"])
-
-    return rows.mapInPandas(grow, "family string, start int, end int, seq string, quasi int")
+    With T(i) the sum of overlap^¼ over the first i positions: the stretch begins as the window of ``window`` (12 at least) positions with the least T(end) − T(start),
+    the leftmost of equals. Its end moves to the last position, short of the sequence's last residue and of ``max_total``, at which the sum is within
+    the threshold. If the end was not held back by the threshold, the start moves likewise to the first such position.
+    """
+    size = max(window, 12)
+    w = Window.partitionBy("family").orderBy("pos")
+    running = counts.select("family", "pos", F.sum(F.pow(F.col("n").cast("double"), F.lit(0.25))).over(w).alias("t"))
+    listed = running.groupBy("family").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "t"))), lambda x: x["t"]).alias("t"))
+    d = seqs.select("family", "seq").join(listed, "family").withColumn("t", F.concat(F.array(F.lit(0.0)), "t"))
+    d = d.withColumn("len", F.size("t") - 1)
+    at = lambda i: F.element_at("t", F.least(i, F.col("len")) + 1)
+    starts = F.sequence(F.lit(0), F.greatest(F.col("len") - size, F.lit(0)))
+    d = d.withColumn("a", F.array_min(F.transform(starts, lambda i: F.struct(F.round(at(i + size) - at(i), 9).alias("s"), i.alias("i"))))["i"])
+    d = d.withColumn("b", F.col("a") + size)
+    # the end may reach ``most``; sums rise with it, so the admissible ends come first
+    most = F.greatest(F.least(F.length("seq") - 1, F.when(F.col("len") - F.col("a") < max_total, F.length("seq") - 1).otherwise(F.col("a") + max_total - 1)), F.col("b"))
+    d = d.withColumn("most", most)
+    ends = F.when(F.col("most") > F.col("b"), F.sequence(F.col("b") + 1, F.col("most"))).otherwise(F.array().cast("array<int>"))
+    d = d.withColumn("b", F.col("b") + F.size(F.filter(ends, lambda e: at(e) - at(F.col("a")) <= threshold)))
+    least = F.greatest(F.least("b", "len") + 1 - max_total, F.lit(0))
+    firsts = F.when((F.col("b") == F.col("most")) & (least < F.col("a")), F.sequence(least, F.col("a") - 1)).otherwise(F.array().cast("array<int>"))
+    d = d.withColumn("a", F.col("a") - F.size(F.filter(firsts, lambda i: at(F.col("b")) - at(i) <= threshold)))
+    quasi = (at(F.col("b")) - at(F.col("a"))).cast("int").alias("quasi")
+    return d.select("family", (F.col("a") + 1).alias("start"), F.least("b", "len").alias("end"), F.substring("seq", F.col("a") + 1, F.col("b") - F.col("a")).alias("seq"), quasi)
 
 
 def marker_weights(markers: DataFrame, hits: DataFrame) -> DataFrame:

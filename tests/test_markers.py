@@ -77,6 +77,42 @@ def test_quasi_markers(spark):
     assert (r["start"], r["end"], r["seq"], r["quasi"]) == (4, 16, seq[3:16], 3)
 
 
+def quasi(n, seq, size, threshold, most):
+    """Straight restatement: widen by single residues."""
+    root = [x ** 0.25 for x in n]
+    length = len(n)
+    a = min(range(max(length - size, 0) + 1), key=lambda i: (round(sum(root[i : i + size]), 9), i))
+    b = a + size
+    held = False
+    for e in range(b + 1, len(seq)):
+        if min(e, length) - a >= most:
+            break
+        if sum(root[a:e]) > threshold:
+            held = True
+            break
+        b = e
+    if not held:
+        for i in range(a - 1, -1, -1):
+            if min(b, length) - i > most or sum(root[i:b]) > threshold:
+                break
+            a = i
+    return a + 1, min(b, length), int(sum(root[a:b]) + 1e-9)
+
+
+def test_quasi_markers_brute_force(spark):
+    rng = random.Random(4)
+    seqs, counts, want = [], [], {}
+    for i in range(60):
+        seq = "".join(rng.choice("ACDEFGHIK") for _ in range(rng.randrange(5, 60)))
+        n = [rng.choice([0, 0, 1, 16, 81, 256, 625]) for _ in seq]
+        seqs.append((f"F{i}", seq))
+        counts += [(f"F{i}", k + 1, x) for k, x in enumerate(n)]
+        want[f"F{i}"] = quasi(n, seq, 14, 20.5, 25)
+    c, s = spark.createDataFrame(counts, "family string, pos int, n long"), spark.createDataFrame(seqs, "family string, seq string")
+    got = {r["family"]: (r["start"], r["end"], r["quasi"]) for r in M.quasi_markers(c, s, window=14, threshold=20.5, max_total=25).collect()}
+    assert got == want
+
+
 def test_weights_and_checks(spark, rows):
     mk = spark.createDataFrame([("m", "F", 5, 14)], "marker string, family string, start int, end int")
     h = spark.createDataFrame([("F", "a", 1.0, 9, 1, 6, 20), ("F", "b", 1.0, 9, 1, 20, 20), ("F", "c", 1.0, 9, 15, 20, 20)], HIT)
