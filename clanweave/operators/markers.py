@@ -132,23 +132,26 @@ def quasi_markers(counts: DataFrame, seqs: DataFrame, window: int = 33, threshol
     """
     size = max(window, 12)
     w = Window.partitionBy("family").orderBy("pos")
-    running = counts.select("family", "pos", F.sum(F.pow(F.col("n").cast("double"), F.lit(0.25))).over(w).alias("t"))
+    # whole millionths: sums do not depend on their order, and equal the threshold where they should
+    root = F.round(F.pow(F.col("n").cast("double"), F.lit(0.25)) * 1_000_000).cast("long")
+    running = counts.select("family", "pos", F.sum(root).over(w).alias("t"))
+    limit = F.lit(round(threshold * 1_000_000))
     listed = running.groupBy("family").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "t"))), lambda x: x["t"]).alias("t"))
-    d = seqs.select("family", "seq").join(listed, "family").withColumn("t", F.concat(F.array(F.lit(0.0)), "t"))
+    d = seqs.select("family", "seq").join(listed, "family").withColumn("t", F.concat(F.array(F.lit(0).cast("long")), "t"))
     d = d.withColumn("len", F.size("t") - 1)
     at = lambda i: F.element_at("t", F.least(i, F.col("len")) + 1)
     starts = F.sequence(F.lit(0), F.greatest(F.col("len") - size, F.lit(0)))
-    d = d.withColumn("a", F.array_min(F.transform(starts, lambda i: F.struct(F.round(at(i + size) - at(i), 9).alias("s"), i.alias("i"))))["i"])
+    d = d.withColumn("a", F.array_min(F.transform(starts, lambda i: F.struct((at(i + size) - at(i)).alias("s"), i.alias("i"))))["i"])
     d = d.withColumn("b", F.col("a") + size)
     # the end may reach ``most``; sums rise with it, so the admissible ends come first
     most = F.greatest(F.least(F.length("seq") - 1, F.when(F.col("len") - F.col("a") < max_total, F.length("seq") - 1).otherwise(F.col("a") + max_total - 1)), F.col("b"))
     d = d.withColumn("most", most)
     ends = F.when(F.col("most") > F.col("b"), F.sequence(F.col("b") + 1, F.col("most"))).otherwise(F.array().cast("array<int>"))
-    d = d.withColumn("b", F.col("b") + F.size(F.filter(ends, lambda e: at(e) - at(F.col("a")) <= threshold)))
+    d = d.withColumn("b", F.col("b") + F.size(F.filter(ends, lambda e: at(e) - at(F.col("a")) <= limit)))
     least = F.greatest(F.least("b", "len") + 1 - max_total, F.lit(0))
     firsts = F.when((F.col("b") == F.col("most")) & (least < F.col("a")), F.sequence(least, F.col("a") - 1)).otherwise(F.array().cast("array<int>"))
-    d = d.withColumn("a", F.col("a") - F.size(F.filter(firsts, lambda i: at(F.col("b")) - at(i) <= threshold)))
-    quasi = (at(F.col("b")) - at(F.col("a"))).cast("int").alias("quasi")
+    d = d.withColumn("a", F.col("a") - F.size(F.filter(firsts, lambda i: at(F.col("b")) - at(i) <= limit)))
+    quasi = F.floor((at(F.col("b")) - at(F.col("a"))) / 1_000_000).cast("int").alias("quasi")
     return d.select("family", (F.col("a") + 1).alias("start"), F.least("b", "len").alias("end"), F.substring("seq", F.col("a") + 1, F.col("b") - F.col("a")).alias("seq"), quasi)
 
 

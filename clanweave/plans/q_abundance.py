@@ -257,7 +257,21 @@ def _(v):
     return M.junction_markers(v.consensus, v.self_hits, x_limit=1)
 
 
-@query("mk05_quasi_markers")
+@query(
+    "mk05_quasi_markers",
+    f"""with {OVER}, t as (select family, pos, sum(round(pow(n::double, 0.25) * 1000000)::bigint) over (partition by family order by pos)::bigint as t from over_ union all select distinct family, 0, 0 from over_),
+    size as (select family, seq, length(seq) as len from consensus where length(seq) > 0),
+    win as (select s.family, x.pos as a, y.t - x.t as w from size s join t x on x.family = s.family and x.pos <= greatest(len - 33, 0) join t y on y.family = s.family and y.pos = least(x.pos + 33, len)),
+    best as (select s.*, a, a + 33 as b0, greatest(least(len - 1, case when len - a < 60 then len - 1 else a + 59 end), a + 33) as most
+        from size s join (select family, min_by(a, (w, a)) as a from win group by family) using (family)),
+    ends as (select b.family, count(e.pos) as more from best b join t x on x.family = b.family and x.pos = a left join t e on e.family = b.family and e.pos > b0 and e.pos <= most and e.t - x.t <= 40000000 group by b.family),
+    wide as (select b.*, b0 + more as b from best b join ends using (family)),
+    firsts as (select w.family, count(f.pos) as more from wide w join t y on y.family = w.family and y.pos = least(b, len)
+        left join t f on f.family = w.family and b = most and f.pos >= greatest(least(b, len) + 1 - 60, 0) and f.pos < a and y.t - f.t <= 40000000 group by w.family),
+    done as (select w.family, seq, len, a - more as a, b from wide w join firsts using (family))
+    select d.family, (a + 1)::int as start, least(b, len)::int as "end", substr(seq, (a + 1)::bigint, (b - a)::bigint) as seq, ((y.t - x.t) // 1000000)::int as quasi
+    from done d join t x on x.family = d.family and x.pos = a join t y on y.family = d.family and y.pos = least(b, len)""",
+)
 def _(v):
     return M.quasi_markers(overlap(v), v.consensus, window=33, threshold=40.0, max_total=60)
 
