@@ -72,7 +72,7 @@ def attach_lengths(edges: DataFrame, seqs: DataFrame) -> DataFrame:
 def edges_within_clusters(edges: DataFrame, id_cluster: DataFrame) -> DataFrame:
     """Keep edges whose endpoints carry the same custom cluster; ``id_cluster(id, cluster)`` has one row per ID.
 
-    Only IDs of 6 or 10 characters count, as in the custom cluster files.
+    Only IDs of 6 or 10 characters count, as in the custom cluster files; ``other_cluster_ids`` returns the rest.
     """
     ok = id_cluster.where(F.length("id").isin(6, 10)).dropDuplicates(["id", "cluster"])
     a = ok.select(F.col("id").alias("src"), F.col("cluster").alias("_a"))
@@ -80,6 +80,11 @@ def edges_within_clusters(edges: DataFrame, id_cluster: DataFrame) -> DataFrame:
     return edges.join(a, "src").join(b, "dst").where("_a = _b").select(*edges.columns)
 
 
+def other_cluster_ids(id_cluster: DataFrame) -> DataFrame:
+    """The rows of a custom cluster file that do not count because of the length of their ID, such as domain nodes."""
+    return id_cluster.where(F.col("id").isNull() | ~F.length("id").isin(6, 10)).distinct()
+
+
 def edges_between_representatives(edges: DataFrame, reps: DataFrame) -> DataFrame:
     """Both endpoints are in ``reps(rep)``."""
     for side in ("src", "dst"):
@@ -102,15 +107,13 @@ def demultiplex_counts(edges: DataFrame, members: DataFrame) -> DataFrame:
     return edges.join(a, "src").join(b, "dst").withColumn("n_pairs", pairs).drop("_na", "_nb")
 
 
-def demultiplex(edges: DataFrame, members: DataFrame, max_edges: int = 10_000_000) -> DataFrame:
-    """List the member pairs behind each edge; self rows give each unordered pair once.
+def demultiplex(edges: DataFrame, members: DataFrame, reps: DataFrame) -> DataFrame:
+    """List the member pairs behind the edges between the named ``reps(rep)``; self rows give each unordered pair once.
 
-    The number of rows is known before any is made (``demultiplex_counts``). Like a full network, a listing
-    above ``max_edges`` is refused: use the compressed form there, it holds the same information.
+    A listing is as large as the product of the groups, so it is made for what a caller asks to see;
+    ``demultiplex_counts`` holds the same information for the whole network.
     """
-    total = demultiplex_counts(edges, members).agg(F.coalesce(F.sum("n_pairs"), F.lit(0))).first()[0]
-    if total > max_edges:
-        raise ValueError(f"{total} edges exceed the limit of {max_edges}; use demultiplex_counts")
+    edges = edges_between_representatives(edges, reps.select("rep").distinct())
     a = members.select(F.col("rep").alias("src"), F.col("member").alias("_a"))
     b = members.select(F.col("rep").alias("dst"), F.col("member").alias("_b"))
     both = edges.join(a, "src").join(b, "dst").where((F.col("src") != F.col("dst")) | (F.col("_a") < F.col("_b")))

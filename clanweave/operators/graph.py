@@ -27,7 +27,7 @@ COLOR_FIELDS = (
 
 
 def connected_components(
-    nodes: DataFrame, edges: DataFrame, include_singletons: bool = True, max_rounds: int = 100
+    nodes: DataFrame, edges: DataFrame, include_singletons: bool = True
 ) -> DataFrame:
     """``(node, component)``; a component is named after its smallest node ID.
 
@@ -38,12 +38,8 @@ def connected_components(
     """
     links = edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
     links = materialize(links.distinct(), "links")
-    for _ in range(max_rounds):
-        if not _has_chain(links):
-            break
+    while _has_chain(links):
         links = materialize(_star_round(_star_round(links)), "links")
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     found = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     found = found.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
     if not include_singletons:
@@ -269,8 +265,10 @@ def representative_nodes(members: DataFrame, attributes: DataFrame) -> DataFrame
     return filled.unionByName(none.withColumn("value", F.lit(None).cast("string"))).unionByName(acc).unionByName(size)
 
 
-def check_edge_limit(edges: DataFrame, max_edges: int = 10_000_000) -> None:
-    """A full network above the limit is refused; counting stops once the limit is passed."""
+def check_edge_limit(edges: DataFrame, max_edges: int | None = None) -> None:
+    """Refuse a network above a limit that the caller sets; without one nothing is counted."""
+    if max_edges is None:
+        return
     n = edges.limit(max_edges + 1).count()
     if n > max_edges:
         raise ValueError(f"more than {max_edges} edges, no network")
@@ -285,7 +283,7 @@ def network_edges(edges: DataFrame) -> DataFrame:
 
 
 def build_full_network(
-    seqs: DataFrame, edges: DataFrame, attributes: DataFrame, max_edges: int = 10_000_000, sequences: str = "none"
+    seqs: DataFrame, edges: DataFrame, attributes: DataFrame, max_edges: int | None = None, sequences: str = "none"
 ) -> tuple[DataFrame, DataFrame]:
     """``(node attribute rows, edge rows)``; ``sequences`` adds residues for ``all`` or only ``unmatched`` (``z…``) nodes."""
     check_edge_limit(edges, max_edges)

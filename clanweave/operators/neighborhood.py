@@ -1,8 +1,9 @@
 """Gene neighbourhoods on linear and circular genomes, and family co-occurrence per cluster.
 
 ``genes(ID, AC, NUM, TYPE, DIRECTION, start, stop)``: contig, accession, ordinal on the contig, 0 circular /
-1 linear, 0 complement / 1 normal. The window around a query is an equi-join on (contig, ordinal) after the
-query side was multiplied by its 2n offsets, so no range join is needed and a long contig stays spread out.
+1 linear, 0 complement / 1 normal. The window around a query is an equi-join on (contig, ordinal div n): n genes on
+either side lie in three neighbouring blocks of n, so no range join is needed, queries are not multiplied by the window,
+and a long contig stays spread out.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from clanweave.functions import scalar as S
 from clanweave.functions.ordered import bounded_quantiles, ordered_scan, rank_within
 
-MAX_WINDOW = 20
+WIDE_WINDOW = 20  # genes on either side of the window that networks store beside the one asked for
 
 
 def fuse_families(matches: DataFrame) -> DataFrame:
@@ -54,29 +55,38 @@ def choose_genome(queries: DataFrame, genes: DataFrame) -> DataFrame:
     )
 
 
-def genes_in_window(placed: DataFrame, genes: DataFrame, n: int, circular: bool = True) -> DataFrame:
-    """Genes at distance 1…n on either side; circular contigs longer than n wrap around."""
-    if not 0 < n <= MAX_WINDOW:
-        raise ValueError(f"window must be within 1..{MAX_WINDOW}")
-    offs = [i for i in range(-n, n + 1) if i]
-    wide = placed.withColumn("distance", F.explode(F.array(*[F.lit(i).cast("long") for i in offs])))
-    wraps = F.lit(circular) & (F.col("type") == 0) & (F.lit(n) < F.col("max_num"))
-    flat = F.col("query_num") + F.col("distance")
-    pos = F.when(wraps, F.pmod(flat - 1, F.col("max_num")) + 1).otherwise(flat)
-    wide = wide.withColumn("num", pos).where((F.col("num") >= 1) & (F.col("num") <= F.col("max_num")))
+def genes_in_window(placed: DataFrame, genes: DataFrame, n: int, circular: bool = True, wrap_all: bool = False) -> DataFrame:
+    """Genes at distance 1…n on either side; circular contigs longer than n wrap around (``wrap_all``: those of any length).
+
+    On a circular contig the query stands at its own place and at those one turn before and after, as far as the window reaches.
+    """
+    if n < 1:
+        raise ValueError("a window holds at least one gene")
+    top = F.col("max_num")
+    wraps = F.lit(circular) & (F.col("type") == 0) & (F.lit(wrap_all) | (F.lit(n) < top))
+    turns = F.when(wraps, F.greatest(F.lit(1), F.ceil(n / top)).cast("int")).otherwise(0)
+    wide = placed.withColumn("_turn", F.explode(F.sequence(-turns, turns)))
+    wide = wide.withColumn("_at", F.col("query_num") + F.col("_turn") * top)
+    wide = wide.where((F.col("_at") + n >= 1) & (F.col("_at") - n <= top))
+    block = lambda c: F.floor(c / n)
+    wide = wide.withColumn("_block", F.explode(F.sequence(block(F.col("_at")) - 1, block(F.col("_at")) + 1)))
     g = genes.select(F.col("ID").alias("contig"), F.col("NUM").cast("long").alias("num"), F.col("AC").alias("neighbor"), F.col("DIRECTION").alias("direction"), "start", "stop")
-    return wide.join(g, ["contig", "num"])
+    found = wide.join(g.withColumn("_block", block(F.col("num"))), ["contig", "_block"])
+    found = found.withColumn("distance", (F.col("num") - F.col("_at")).cast("long"))
+    return found.where((F.col("distance") != 0) & (F.abs("distance") <= n)).drop("_turn", "_at", "_block")
 
 
-def find_neighbors(queries: DataFrame, genes: DataFrame, n: int, circular: bool = True) -> DataFrame:
+def find_neighbors(queries: DataFrame, genes: DataFrame, n: int, circular: bool = True, wrap_all: bool = False) -> DataFrame:
     """Neighbouring genes with signed distance; one row per (query, neighbour accession), the nearest.
 
+    With ``wrap_all`` (a window to be stored and cut down later) all places at which a neighbour is met on a circular contig are kept.
     ``is_bound``: 1 when the window passes the left end of the contig, 2 the right end.
     """
     placed = choose_genome(queries, genes)
-    found = genes_in_window(placed, genes, n, circular).where(F.col("neighbor") != F.col("query"))
+    found = genes_in_window(placed, genes, n, circular, wrap_all).where(F.col("neighbor") != F.col("query"))
     fields = [c for c in found.columns if c not in ("query", "neighbor")]
-    nearest = found.groupBy("query", "neighbor").agg(F.min(F.struct(F.abs("distance").alias("_d"), F.col("num").alias("_n"), *fields)).alias("r"))
+    place = F.col("distance") if wrap_all else F.lit(0)
+    nearest = found.groupBy("query", "neighbor", place.alias("_place")).agg(F.min(F.struct(F.abs("distance").alias("_d"), F.col("num").alias("_n"), *fields)).alias("r"))
     rows = nearest.select("query", "neighbor", *[F.col(f"r.{c}").alias(c) for c in fields])
     flat = F.col("query_num") + F.col("distance")
     shift = F.when(flat < 1, -F.col("last_stop")).when(flat > F.col("max_num"), F.col("last_stop")).otherwise(0)
@@ -104,8 +114,17 @@ def neighbor_status(queries: DataFrame, placed: DataFrame, neighbors: DataFrame)
 
 
 def restrict_window(neighbors: DataFrame, n: int) -> DataFrame:
-    """Reuse a wider stored window."""
-    return neighbors.where(F.abs("distance") <= n)
+    """Cut a stored window down to n genes; a contig that a window of n does not go around loses its wrapped genes.
+
+    Exact for a stored window made with ``wrap_all``: only that has the wrapped genes of contigs shorter than itself.
+    """
+    flat = F.col("query_num") + F.col("distance")
+    inside = (flat >= 1) & (flat <= F.col("max_num"))
+    bound = F.when(F.col("query_num") - n < 1, 1).otherwise(0) + F.when(F.col("query_num") + n > F.col("max_num"), 2).otherwise(0)
+    kept = neighbors.where((F.abs("distance") <= n) & (inside | (F.lit(n) < F.col("max_num"))))
+    fields = [c for c in kept.columns if c not in ("query", "neighbor")]
+    nearest = kept.groupBy("query", "neighbor").agg(F.min(F.struct(F.abs("distance").alias("_d"), F.col("num").alias("_n"), *fields)).alias("r"))
+    return nearest.select("query", "neighbor", *[F.col(f"r.{c}").alias(c) for c in fields]).withColumn("is_bound", bound)
 
 
 def clustered(neighbors: DataFrame, clusters: DataFrame) -> DataFrame:

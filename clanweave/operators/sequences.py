@@ -182,14 +182,14 @@ def select_family(
 
 
 # ---- hits -----------------------------------------------------------------------------------------
-def top_hits(hits: DataFrame, max_results: int = 1000) -> DataFrame:
+def top_hits(hits: DataFrame, max_results: int) -> DataFrame:
     """Best ``max_results`` distinct subjects by bitscore (a top-k report); ``a|ID|b`` counts as ``ID``."""
     sid = F.when(F.col("dst").rlike(r"^.*\|\w+\|.*$"), F.regexp_extract("dst", r"^.*\|(\w+)\|.*$", 1)).otherwise(F.col("dst"))
     best = hits.groupBy(sid.alias("id")).agg(F.max("bitscore").alias("bitscore"))
     return best.orderBy(F.desc("bitscore"), F.asc("id")).limit(max_results)
 
 
-def select_blast_hits(hits: DataFrame, query_seq: str, max_results: int = 1000, uniref: DataFrame | None = None, version: str = "") -> tuple[DataFrame, DataFrame]:
+def select_blast_hits(hits: DataFrame, query_seq: str, max_results: int, uniref: DataFrame | None = None, version: str = "") -> tuple[DataFrame, DataFrame]:
     """``(ids, metadata rows)``: the best hits and the query itself as ``zINPUTSEQ``."""
     top = top_hits(hits, max_results).select("id")
     spark = hits.sparkSession

@@ -211,7 +211,14 @@ def _(v):
     return R.read_metagenome_reads(v.spark, path).drop("sample")
 
 
-@query("src17_read_fasta_reads", "select id as read_id, seq_len as len from sequences where seq_len > 0 and seq_len < 50000")
+@query("src17_read_fasta_reads", "select id as read_id, seq_len as len from sequences where seq_len > 0")
+def _(v):
+    path = scratch_path(v.spark, "reads") + ".fa"
+    X.write_fasta(v.sequences.where("seq_len > 0"), path)
+    return R.read_metagenome_reads(v.spark, path).select("read_id", "len")
+
+
+@query("src17_read_short_fasta_reads", "select id as read_id, seq_len as len from sequences where seq_len > 0 and seq_len < 50000")
 def _(v):
     path = scratch_path(v.spark, "reads") + ".fa"
     X.write_fasta(v.sequences.where("seq_len > 0"), path)

@@ -127,10 +127,9 @@ def _(v):
     return d.select("l_partkey", "a", "b", S.trunc2_ratio("a", "b").alias("ratio"))
 
 
-@query("fn14_subsequence", "select id, substr(seq, 5, seq_len - 9) as piece from sequences where seq_len >= 10")
+@query("fn14_subsequence", "select id, substr(seq, 5, greatest(seq_len - 9, 0)) as piece from sequences")
 def _(v):
-    d = v.sequences.where("seq_len >= 10")
-    return d.select("id", S.subsequence("seq", F.lit(5), F.col("seq_len") - 5).alias("piece"))
+    return v.sequences.select("id", S.subsequence("seq", F.lit(5), F.col("seq_len") - 5).alias("piece"))
 
 
 @query(

@@ -134,8 +134,8 @@ class Views:
 
     @property
     def gene_matches(self) -> DataFrame:
-        """Matches long enough to name a gene's family; some genes have none."""
-        return self.family_match.where(F.col("end") - F.col("start") >= 48)
+        """The matches that name a gene's family."""
+        return self.family_match
 
     @property
     def interpro_match(self) -> DataFrame:
@@ -376,7 +376,7 @@ SQL_VIEWS = {
         c.direction as query_direction, g.start, g.stop, o.off as distance from chosen c join (select unnest(range(-{WINDOW}, {WINDOW + 1}))::bigint as off) o on o.off <> 0
         join genes g on g."ID" = c.contig and g."NUM" = case when c.type = 0 and {WINDOW} < c.max_num
         then (c.num - 1 + o.off + c.max_num) % c.max_num + 1 else c.num + o.off end""",
-    "fused": """select accession, string_agg(id, '-' order by id) as family from (select distinct accession, id from family_match where "end" - start >= 48) group by accession""",
+    "fused": """select accession, string_agg(id, '-' order by id) as family from (select distinct accession, id from family_match) group by accession""",
     "neighbors": """select query, neighbor, num, direction, contig, type, query_num, max_num, query_direction, start, stop, distance,
         coalesce(family, 'none') as family from (select *, row_number() over (partition by query, neighbor order by abs(distance), num) as rn from near where neighbor <> query)
         left join fused on accession = neighbor where rn = 1""",

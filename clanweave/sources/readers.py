@@ -40,10 +40,15 @@ def _split_record(value) -> tuple:
     return header, body
 
 
+def _unmarked(value: str):
+    """A record without its mark; only the first one of a file still has it."""
+    return F.regexp_replace(value, r"^\s*>", "").alias("value")
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """``(id, header, seq, seq_len)``; a record is cut at ``>``, so files split anywhere."""
+    """``(id, header, seq, seq_len)``; a record begins with ``>`` at the start of a line, so files split anywhere."""
+    rec = spark.read.option("lineSep", "\n>").text(path).select(_unmarked("value")).where(F.trim("value") != "")
     header, body = _split_record(F.col("value"))
-    rec = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
     return rec.select(F.regexp_extract(header, r"^\s*(\S+)", 1).alias("id"), F.rtrim(header).alias("header"), body.alias("seq"), F.length(body).alias("seq_len"))
 
 
@@ -53,7 +58,7 @@ def read_fasta_multi_header(spark: SparkSession, path: str) -> DataFrame:
     IDs are the 0-based ordinal of the sequence, padded with ``z`` to width 7.
     """
     header, body = _split_record(F.col("value"))
-    rec = records(spark, path, ">").where(F.trim("value") != "").select(*ORDER, F.rtrim(header).alias("header"), body.alias("seq"))
+    rec = records(spark, path, "\n>").select(*ORDER, _unmarked("value")).where(F.trim("value") != "").select(*ORDER, F.rtrim(header).alias("header"), body.alias("seq"))
     placed = ordered_scan(rec, [], ORDER, rank="_r", sums={"_done": (F.col("seq") != "").cast("long")})
     placed = placed.withColumn("ord", F.col("_done") - (F.col("seq") != "").cast("long"))
     first = placed.groupBy("ord").agg(F.min("_r").alias("_first"), F.max("seq").alias("_seq"))
@@ -69,16 +74,17 @@ def sequence_id(ordinal: str):
 
 def read_metagenome_reads(spark: SparkSession, path: str, skip_long: bool = False) -> DataFrame:
     """``(sample, read_id, seq, len)`` of FASTA or FASTQ files (plain, gz, bz2), by file name."""
-    lines = records(spark, path).where("value <> ''")
+    lines = records(spark, path)
     kind = F.when(F.lower("_file").rlike(r"\.(fastq|fq)([./]|$)"), "fastq").otherwise("fasta")
     sample = F.regexp_extract("_file", r"([^/.]+)\.[^/]*$", 1)
     lines = lines.withColumn("_kind", kind)
     q = ordered_scan(lines.where("_kind = 'fastq'"), ["_file"], ORDER[1:], rank="_r")
     q = q.withColumn("_rec", F.expr("(_r - 1) div 4")).withColumn("_k", (F.col("_r") - 1) % 4)
     fastq = q.groupBy("_file", "_rec").agg(F.max(F.when(F.col("_k") == 0, F.col("value"))).alias("h"), F.max(F.when(F.col("_k") == 1, F.col("value"))).alias("seq"))
-    fastq = fastq.select("_file", F.regexp_extract("h", r"^@(\S+)", 1).alias("read_id"), "seq")
+    # every line counts, so a read without residues keeps its place; blank lines at the end make no record
+    fastq = fastq.where(F.col("h").startswith("@")).select("_file", F.regexp_extract("h", r"^@(\S+)", 1).alias("read_id"), "seq")
     is_head = F.col("value").startswith(">")
-    fa = under_heads(lines.where("_kind = 'fasta'"), is_head, F.regexp_extract("value", r"^>\s*(\S+)", 1))
+    fa = under_heads(lines.where("_kind = 'fasta' and value <> ''"), is_head, F.regexp_extract("value", r"^>\s*(\S+)", 1))
     # A read's lines are put together in order; a read is short, a contig at most one line per 80 bases.
     fasta = fa.groupBy("_file", "_no").agg(F.max("head").alias("read_id"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_block", "_row", "value"))), lambda s: s["value"]), "").alias("seq"))
     out = fastq.unionByName(fasta.select("_file", "read_id", "seq")).select(sample.alias("sample"), "read_id", F.regexp_replace("seq", r"\s", "").alias("seq"))

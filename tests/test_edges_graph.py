@@ -22,7 +22,7 @@ def test_demultiplex(spark, rows):
     e = spark.createDataFrame([("R", "R", 1.0, 1, 5.0, 1, 1), ("R", "S", 1.0, 1, 6.0, 1, 1), ("R", "Q", 1.0, 1, 6.0, 1, 1)], EDGE)
     m = spark.createDataFrame([("R", "R"), ("R", "x"), ("R", "y"), ("S", "S")], "rep string, member string")
     want = [("R", "S"), ("R", "x"), ("R", "y"), ("x", "S"), ("x", "y"), ("y", "S")]
-    assert rows(E.demultiplex(e, m), "src", "dst") == want
+    assert rows(E.demultiplex(e, m, m), "src", "dst") == want
     assert E.demultiplex_counts(e, m).agg(F.sum("n_pairs")).first()[0] == len(want)
     degrees = dict(rows(E.demultiplex_degrees(e, m)))
     count = {}
@@ -30,8 +30,10 @@ def test_demultiplex(spark, rows):
         count[a] = count.get(a, 0) + 1
         count[b] = count.get(b, 0) + 1
     assert degrees == count
-    with pytest.raises(ValueError):
-        E.demultiplex(e, m, max_edges=5)
+    only = spark.createDataFrame([("R",), ("R",)], "rep string")
+    assert rows(E.demultiplex(e, m, only), "src", "dst") == [("R", "x"), ("R", "y"), ("x", "y")]
+    ids = spark.createDataFrame([("ABCDEF", "c"), ("ABCDEF:1:2", "c"), ("ABCDEF:10:20", "c"), (None, "c")], "id string, cluster string")
+    assert rows(E.other_cluster_ids(ids), "id") == [("ABCDEF:10:20",), (None,)]
 
 
 def test_convergence(spark):
@@ -95,6 +97,7 @@ def test_representative_nodes(spark, rows):
 
 def test_guards(spark):
     e = spark.createDataFrame([("a", "b", 1.0, 1, 1.0, 1, 1)] * 3, EDGE)
+    G.check_edge_limit(e)
     G.check_edge_limit(e, 3)
     with pytest.raises(ValueError):
         G.check_edge_limit(e, 2)

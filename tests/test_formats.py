@@ -17,6 +17,18 @@ def test_fasta(spark, rows, tmp_path):
     assert rows(R.read_fasta(spark, p)) == [("A", "A one", "ABCDEF", 6), ("B", "B", "GHI", 3)]
 
 
+def test_fasta_marks_inside_headers(spark, rows, tmp_path):
+    p = put(tmp_path, "m.fa", "\n>sp|P12345|X desc >gi|99999 other\nMKV\r\nLLA\r\n>B >C\n>D\nAA\n")
+    assert rows(R.read_fasta(spark, p), "id", "seq") == [("B", ""), ("D", "AA"), ("sp|P12345|X", "MKVLLA")]
+    got = rows(R.read_fasta_multi_header(spark, p), "ord", "pos", "header", "seq")
+    assert got == [(0, 0, "sp|P12345|X desc >gi|99999 other", "MKVLLA"), (1, 0, "B >C", "AA"), (1, 1, "D", "AA")]
+
+
+def test_fastq_with_empty_reads(spark, rows, tmp_path):
+    p = put(tmp_path, "e.fastq", "@r1\nACGT\n+\nIIII\n@r2\n\n+\n\n@r3\nGG\n+\n@@\n@r4\nT\n+\nI\n\n\n")
+    assert rows(R.read_metagenome_reads(spark, p), "read_id", "seq", "len") == [("r1", "ACGT", 4), ("r2", "", 0), ("r3", "GG", 2), ("r4", "T", 1)]
+
+
 def test_fasta_multi_header(spark, rows, tmp_path):
     p = put(tmp_path, "a.fa", ">x\n>y\n>z w\nABC\n>q\nDE\n")
     got = rows(R.read_fasta_multi_header(spark, p), "id", "pos", "header", "seq")

@@ -71,9 +71,21 @@ def test_window_matches_range_predicate(spark, rows):
         assert got == want
 
 
-def test_window_limit(spark):
+def test_wide_windows(spark, rows):
+    g = spark.createDataFrame(contig("L", 90, 1), GENES)
+    assert [n for (n,) in rows(N.find_neighbors(query(spark, "L_45"), g, 30), "num")] == [n for n in range(15, 76) if n != 45]
     with pytest.raises(ValueError):
-        N.find_neighbors(query(spark, "C_1"), spark.createDataFrame(contig("C", 5, 0), GENES), 21)
+        N.find_neighbors(query(spark, "L_1"), g, 0)
+
+
+@pytest.mark.parametrize("size", [4, 5, 11, 15, 20, 21])
+def test_restricted_window_equals_direct(spark, rows, size):
+    """A wide stored window of a small circular contig, cut down, is the window that was asked for."""
+    g = spark.createDataFrame(contig("C", size, 0) + contig("L", size, 1), GENES)
+    q = query(spark, "C_1", f"C_{size}", "C_3", "L_2")
+    stored = N.find_neighbors(q, g, 20, wrap_all=True)
+    for n in (2, 5, 10):
+        assert rows(N.restrict_window(stored, n)) == rows(N.find_neighbors(q, g, n))
 
 
 def test_cooccurrence(spark, rows):
