@@ -184,13 +184,42 @@ def test_search_links_copies(spark):
     other = "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(180))
     s = spark.createDataFrame([("a", base), ("b", near), ("c", base), ("d", other), ("e", base[20:150])], "id string, seq string")
     e = {(r["src"], r["dst"]): r for r in Y.pairwise_similarity(s, 6, 3).collect()}
-    assert set(e) == {("b", "a"), ("e", "a")}
+    assert set(e) == {("b", "a"), ("e", "a"), ("e", "b")}
     assert e[("e", "a")]["pid"] == 100.0 and e[("e", "a")]["alen"] == 130
     assert e[("b", "a")]["alen"] == 200 and 99.0 < e[("b", "a")]["pid"] < 100.0
     q = spark.createDataFrame([("q", base[10:60])], "id string, seq string")
     assert {r["dst"] for r in Y.search_query(q, s, 6, 3).collect()} == {"a", "b", "c", "e"}
 
 
+def test_small_families_are_complete(spark):
+    """A sequence and its prefixes share k-mers pairwise; so few are all centres of each other."""
+    rng = random.Random(6)
+    base = "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(200))
+    s = spark.createDataFrame([(f"p{n}", base[:n]) for n in (200, 199, 198, 197)], "id string, seq string")
+    assert Y.pairwise_similarity(s, 8, 2).count() == 6
+
+
+def test_search_recall(spark):
+    """Against all pairs of sequences that share enough k-mers on a diagonal: four fifths at least (0.67 with four centres)."""
+    seqs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("doc_id").cast("string").alias("id"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("seq"))
+    found = {tuple(sorted((r["src"], r["dst"]))) for r in Y.pairwise_similarity(seqs, 12, 4).select("src", "dst").collect()}
+    places, votes = {}, {}
+    for r in Y.unique_sequences(seqs).collect():
+        first = {}
+        for p in range(len(r["seq"]) - 11):
+            first.setdefault(r["seq"][p : p + 12], p)
+        for word, p in first.items():
+            places.setdefault(word, []).append((r["id"], p))
+    for held in places.values():
+        for i, (a, p) in enumerate(held):
+            for b, q in held[:i]:
+                key = (a, b, p - q) if a < b else (b, a, q - p)
+                votes[key] = votes.get(key, 0) + 1
+    every = {(a, b) for (a, b, _), n in votes.items() if n >= 4}
+    recall = len(found & every) / len(every)
+    assert found <= every and recall >= 0.8, recall
+
+
 def test_consensus(spark, rows):
     a = spark.createDataFrame([("F", "ABC"), ("F", "ABD"), ("F", "ABE")], "family string, seq string")
     assert rows(Y.consensus(a, 0.95)) == [("F", "ABX")]
