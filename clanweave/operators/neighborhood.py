@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clanweave.functions import scalar as S
 from clanweave.functions.ordered import bounded_quantiles, ordered_scan, rank_within
+from clanweave.operators.annotate import family_names
 
 WIDE_WINDOW = 20  # genes on either side of the window that networks store beside the one asked for
 
@@ -398,12 +399,24 @@ def order_by_clan(rows: DataFrame) -> DataFrame:
 
 def neighborhood_diagrams(
     placed: DataFrame, neighbors: DataFrame, annotations: DataFrame, clusters: DataFrame | None = None, evalues: DataFrame | None = None,
-    centers: DataFrame | None = None, title: str = "", n: int = 10,
+    centers: DataFrame | None = None, title: str = "", n: int = 10, pfam: DataFrame | None = None, interpro: DataFrame | None = None,
+    family_info: DataFrame | None = None, matched: DataFrame | None = None, unmatched: DataFrame | None = None,
+    cooccurrence: float | None = None, kind: str = "", sequence: str | None = None,
 ) -> dict[str, DataFrame]:
-    """The diagram tables: attributes, neighbors, families, cluster_degree, metadata, cluster_index.
+    """The diagram tables: attributes, neighbors, families, cluster_degree, metadata, cluster_index, matched, unmatched.
 
-    Matched and unmatched ID tables come from ID mapping. ``neighbors`` carries ``family``.
+    ``neighbors`` carries ``family``. With ``pfam`` and ``interpro`` (accession, family; fused) queries get their families and both sides their
+    InterPro families, with ``family_info`` also the names of both kinds; a gene without one has ``none``. ID tables come from ID mapping.
     """
+    def with_families(genes: DataFrame) -> DataFrame:
+        for column, fused in (("family", None if "family" in genes.columns else pfam), ("ipro_family", interpro)):
+            if fused is not None:
+                genes = genes.join(fused.select("accession", F.col("family").alias(column)), "accession", "left").withColumn(column, F.coalesce(column, F.lit("none")))
+            if column in genes.columns and family_info is not None:
+                names = family_names(genes.select(F.col(column).alias("family")).distinct(), family_info)
+                genes = genes.join(names.select(F.col("family").alias(column), F.col("short").alias(f"{column}_desc")), column, "left")
+        return genes
+
     info = annotations.select(F.col("accession"), F.col("Taxonomy_ID").alias("taxon_id"), S.status_label("STATUS").alias("anno_status"), F.col("Description").alias("desc"), F.col("Organism").alias("organism"))
     attr = placed.select(
         F.col("query").alias("accession"), F.col("contig").alias("id"), F.col("query_num").alias("num"), F.col("query_start").alias("start"), F.col("query_stop").alias("stop"),
@@ -417,16 +430,23 @@ def neighborhood_diagrams(
         attr = attr.join(clusters.select(F.col("query").alias("accession"), F.col("cluster").alias("cluster_num")), "accession")
     if evalues is not None:
         attr = attr.join(evalues.select(F.col("id").alias("accession"), "evalue"), "accession", "left")
+    attr = with_families(attr)
     attr = cluster_index(attr).withColumn("sort_key", F.col("cluster_index") + 1)
     keys = attr.select(F.col("accession").alias("query"), F.col("sort_key").alias("gene_key"))
     nb = neighbors.join(keys, "query").select(
         "gene_key", F.col("neighbor").alias("accession"), F.col("contig").alias("id"), "num", "family", "start", "stop", "rel_start", "rel_stop",
         direction_name("direction").alias("direction"), F.when(F.col("type") == 0, "circular").otherwise("linear").alias("type"), "seq_len", "distance",
     ).join(info.drop("organism"), "accession", "left")
+    nb = with_families(nb)
     out = {"attributes": attr, "neighbors": nb, "families": nb.select("family").distinct(), "cluster_index": cluster_extents(attr)}
     if centers is not None:
         out["cluster_degree"] = centers
-    out["metadata"] = placed.sparkSession.createDataFrame([(title, n)], "name string, neighborhood_size int")
+    meta = "cooccurrence double, name string, neighborhood_size int, type string, sequence string"
+    out["metadata"] = placed.sparkSession.createDataFrame([(cooccurrence, title, n, kind, sequence)], meta)
+    if matched is not None:
+        out["matched"] = matched
+    if unmatched is not None:
+        out["unmatched"] = unmatched
     return out
 
 

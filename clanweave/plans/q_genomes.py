@@ -178,6 +178,21 @@ def _(v):
     return N.annotate_network_neighbors(v.metanode, status, fam).where(F.col("name").isin("Neighbor Pfam Families", "Present in ENA Database?"))
 
 
+IFUSED = "ifused as (select accession, string_agg(id, '-' order by id) as family from (select distinct accession, id from interpro_match) group by accession)"
+
+
+@query(
+    "gnn14_network_neighbor_interpro",
+    f"""with {IFUSED}, ip as (select query, unnest(string_split(ifused.family, '-')) as value from neighbors join ifused on accession = neighbor)
+    select distinct m.node_id, 'Neighbor InterPro Families' as name, 'list' as type, value from metanode m join ip on query = m.member""",
+)
+def _(v):
+    status = N.neighbor_status(v.gene_queries, N.choose_genome(v.gene_queries, v.genes), v.neighbors)
+    ipro = N.attach_gene_families(v.neighbors.select("query", "neighbor"), N.fuse_families(v.interpro_match))
+    fam = ipro.select("query", F.lit("Neighbor InterPro Families").alias("name"), "family")
+    return N.annotate_network_neighbors(v.metanode, status, fam).where("name = 'Neighbor InterPro Families'")
+
+
 @query("st04_no_family_neighbors", f"with {CLUSTERED} select distinct cluster, neighbor from rows where family = 'none'")
 def _(v):
     return N.no_family_neighbors(rows(v))
@@ -225,6 +240,37 @@ def _(v):
     return diagrams(v)["neighbors"].select("gene_key", "accession", "num", "family", "distance", "taxon_id", "anno_status")
 
 
+NAMED = """named as (select f, string_agg(coalesce(short_name, part), '-' order by pos) as short from (select family as f, unnest(string_split(family, '-')) as part, unnest(range(0, len(string_split(family, '-')))) as pos
+    from (select family from fused union select family from ifused union select 'none')) left join family_names on family_names.family = part group by f)"""
+
+
+def full_diagrams(v):
+    cl = clusters(v).select("query", F.substring("cluster", 2, 20).cast("int").alias("cluster"))
+    ipro = N.fuse_families(v.interpro_match)
+    return N.neighborhood_diagrams(N.choose_genome(v.gene_queries, v.genes), v.neighbors, v.annotations, cl, n=WINDOW, pfam=N.fuse_families(v.gene_matches), interpro=ipro, family_info=v.family_names, kind="gnn", cooccurrence=0.2)
+
+
+@query(
+    "gnn15_diagram_families",
+    f"""with {NUMBERED}, {IFUSED}, {NAMED}, genes_ as (select 'query' as side, sort_key as gene_key, query as accession from attr union all select 'neighbor', a.sort_key, n.neighbor from neighbors n join attr a on a.query = n.query)
+    select side, gene_key, g.accession, coalesce(f.family, 'none') as family, p.short as family_desc, coalesce(i.family, 'none') as ipro_family, q.short as ipro_family_desc
+    from genes_ g left join fused f on f.accession = g.accession left join ifused i on i.accession = g.accession join named p on p.f = coalesce(f.family, 'none') join named q on q.f = coalesce(i.family, 'none')""",
+)
+def _(v):
+    d = full_diagrams(v)
+    cols = ("accession", "family", "family_desc", "ipro_family", "ipro_family_desc")
+    own = d["attributes"].select(F.lit("query").alias("side"), F.col("sort_key").alias("gene_key"), *cols)
+    return own.unionByName(d["neighbors"].select(F.lit("neighbor").alias("side"), "gene_key", *cols))
+
+
+@query("gnn15_diagram_metadata", f"select count(*)::bigint as clusters, 0.2::double as cooccurrence, {WINDOW}::int as neighborhood_size, 'gnn' as type from (select distinct uniref50_seed from uniref join chosen on query = accession)")
+def _(v):
+    d = full_diagrams(v)
+    n = d["cluster_index"].agg(F.count(F.lit(1)).alias("clusters"))
+    meta = d["metadata"].select("cooccurrence", "neighborhood_size", "type").first()
+    return n.select("clusters", F.lit(meta[0]).alias("cooccurrence"), F.lit(meta[1]).alias("neighborhood_size"), F.lit(meta[2]).alias("type"))
+
+
 WINDOWS = f"""{NUMBERED}, big as (select cluster_num from dq group by 1 having count(*) >= 3),
     wnear as (select n.*, a.cluster_num, a.num as q_num from neighbors n join attr a on a.query = n.query where abs(n.num - a.num) <= 4 and a.cluster_num in (select cluster_num from big)),
     wlist as (select cluster_num, query, num, neighbor as accession, neighbor || '_ORF' || num || ':gid:' || contig || ':pid:' || query || ':loc:' || start || ':' || stop || ':strand:' || case when direction = 1 then '+' else '-' end as header from wnear

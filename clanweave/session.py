@@ -23,6 +23,10 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "cla
     )
 
 
+#: Scratch paths made by this process, by application; ``release`` deletes them.
+_MADE: dict[str, list[str]] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors: ``spark.checkpoint.dir`` of the session.
 
@@ -40,7 +44,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the scratch tables this process has made, at the end of a job whose results are written; returns their number."""
+    made, count = _MADE.pop(spark.sparkContext.applicationId, []), 0
+    for path in made:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        count += bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))
+    return count
 
 
 def materialize(df: DataFrame, tag: str = "step") -> DataFrame:
