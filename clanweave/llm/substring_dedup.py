@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from clanweave.llm.common import fresh, id_text, map_arrow, mix, octets
 from clanweave.session import materialize
 
-#: Odd base of the polynomial; windows a task gathers; bytes of text for one bucket; bytes of a hash that are kept.
-BASE, GATHER, BUCKET_TEXT, KEY = np.uint64(0x5851F42D4C957F2D), 1 << 20, 12 << 20, 7
+#: Odd base of the polynomial; windows a task gathers; bytes of text for one bucket and for one group of documents; bytes of a hash that are kept.
+BASE, GATHER, BUCKET_TEXT, GROUP_TEXT, KEY = np.uint64(0x5851F42D4C957F2D), 1 << 20, 12 << 20, 64 << 20, 7
+#: Known repeats a bucket holds before it sends them back.
+FLUSH = 1 << 22
 
 
 def window_hashes(words: list[bytes], width: int) -> np.ndarray:
@@ -67,11 +69,15 @@ def repeats(docs: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def repeated_windows(docs: DataFrame, width: int = 13) -> DataFrame:
-    """(doc_id, hashes): the window hashes of each document that also start in one with a smaller doc_id."""
+    """(doc_id, hashes): the window hashes of each document that also start in one with a smaller doc_id, one row per document.
+
+    What a bucket finds goes back packed by groups of documents, so that no row is made per document and bucket.
+    """
     spark = docs.sparkSession
     texts = id_text(docs).where("doc_id is not null")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_TEXT))
+    at_once = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, groups = max(at_once, -(-size // BUCKET_TEXT)), max(at_once, -(-size // GROUP_TEXT))
 
     def gather(batches) -> Iterator[dict]:
         ids, held, n = [], [], 0
@@ -89,23 +95,47 @@ def repeated_windows(docs: DataFrame, width: int = 13) -> DataFrame:
             yield _dealt(ids, held, buckets)
 
     def compare(batches) -> Iterator[dict]:
-        own, ids, held = -1, [], []
+        own, open_, known = -1, [], []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["bucket"] != own:
-                    yield from _found(ids, held)
-                    own, ids, held = row["bucket"], [], []
-                docs, times = np.frombuffer(row["known_docs"], "<i8"), np.frombuffer(row["known_times"], "<u4")
-                ends = KEY * np.cumsum(np.r_[0, times])
-                if len(docs):
-                    yield {"doc_id": docs, "hashes": [row["known"][a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]}
-                ids.append(np.repeat(np.frombuffer(row["docs"], "<i8"), np.frombuffer(row["times"], "<u4")))
-                held.append(_long(row["hashes"]))
-        yield from _found(ids, held)
+                    yield from _found(open_, known, groups)
+                    own, open_, known = row["bucket"], [], []
+                open_.append(_entries(row["docs"], row["times"], row["hashes"]))
+                known.append(_entries(row["known_docs"], row["known_times"], row["known"]))
+                if sum(len(docs) for docs, _ in known) > FLUSH:
+                    yield _packed(*_joined(known), "group", groups)
+                    known = []
+        yield from _found(open_, known, groups)
+
+    def merge(batches) -> Iterator[dict]:
+        own, held = -1, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["group"] != own:
+                    yield from _by_document(held)
+                    own, held = row["group"], []
+                held.append(_entries(row["docs"], row["times"], row["hashes"]))
+        yield from _by_document(held)
 
     entry = "bucket long, docs binary, times binary, hashes binary, known_docs binary, known_times binary, known binary"
     dealt = map_arrow(texts, entry, gather).repartition(F.col("bucket")).sortWithinPartitions("bucket")
-    return materialize(map_arrow(dealt, "doc_id long, hashes binary", compare), "window-repeats")
+    back = map_arrow(dealt, "group long, docs binary, times binary, hashes binary", compare).repartition(F.col("group")).sortWithinPartitions("group")
+    return materialize(map_arrow(back, "doc_id long, hashes binary", merge), "window-repeats")
+
+
+def _entries(docs: bytes, times: bytes, hashes: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.repeat(np.frombuffer(docs, "<i8"), np.frombuffer(times, "<u4")), _long(hashes)
+
+
+def _packed(docs: np.ndarray, hashes: np.ndarray, name: str, groups: int) -> dict:
+    """Entries as one row per group of documents."""
+    group = (mix(docs, 8) % np.uint64(groups)).astype(np.int64)
+    order = np.lexsort((docs, group))
+    docs, hashes, group = docs[order], hashes[order], group[order]
+    ends = np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group)] if len(group) else [0]
+    parts = [(int(group[a]), *_runs(docs[a:b], hashes[a:b])) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return {key: [part[k] for part in parts] for k, key in enumerate((name, "docs", "times", "hashes"))}
 
 
 def _dealt(ids: list[int], held: list[np.ndarray], buckets: int) -> dict:
@@ -125,19 +155,25 @@ def _dealt(ids: list[int], held: list[np.ndarray], buckets: int) -> dict:
     return out
 
 
-def _found(ids: list[np.ndarray], held: list[np.ndarray]) -> Iterator[dict]:
-    if not ids:
-        return
-    docs, hashes = np.concatenate(ids), np.concatenate(held)
-    if not len(docs):
-        return
-    hit = repeats(docs, hashes)
-    docs, hashes = docs[hit], hashes[hit]
+def _joined(entries: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([d for d, _ in entries] or [np.zeros(0, np.int64)]), np.concatenate([h for _, h in entries] or [np.zeros(0, np.uint64)])
+
+
+def _found(open_: list, known: list, groups: int) -> Iterator[dict]:
+    """What a bucket finds, and what was known of it before."""
+    docs, hashes = _joined(open_)
+    if len(docs):
+        hit = repeats(docs, hashes)
+        known = [*known, (docs[hit], hashes[hit])]
+    yield _packed(*_joined(known), "group", groups)
+
+
+def _by_document(held: list) -> Iterator[dict]:
+    docs, hashes = _joined(held)
     order = np.argsort(docs, kind="stable")
     own, times, short = _runs(docs[order], hashes[order])
     ends = KEY * np.cumsum(np.r_[0, np.frombuffer(times, "<u4")])
-    if len(docs):
-        yield {"doc_id": np.frombuffer(own, "<i8"), "hashes": [short[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]}
+    yield {"doc_id": np.frombuffer(own, "<i8"), "hashes": [short[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]}
 
 
 def intervals(hit: np.ndarray, width: int) -> list[tuple[int, int]]:
@@ -162,9 +198,8 @@ def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
     """
     texts = id_text(docs)
     found = repeated_windows(docs, width)
-    parts = found.groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
     note, key = fresh(texts, "_hashes"), fresh(texts, "_id")
-    small = parts.select(F.col("doc_id").alias(key), F.col("hashes").alias(note)).hint("shuffle_hash")
+    small = found.select(F.col("doc_id").alias(key), F.col("hashes").alias(note)).hint("shuffle_hash")
     both = texts.join(small, F.col("doc_id") == F.col(key), "left").drop(key)
 
     def run(batches) -> Iterator[dict]:
@@ -173,7 +208,7 @@ def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
             for text, raw in zip(octets(batch), batch.column(note).to_pylist(), strict=True):
                 words, spans = text.split(), []
                 if raw:
-                    spans = intervals(np.isin(window_hashes(words, width) & _LOW, _long(b"".join(raw))), width)
+                    spans = intervals(np.isin(window_hashes(words, width) & _LOW, _long(raw)), width)
                 kept, at = [], 0
                 for a, b in spans:
                     kept += words[at:a]
