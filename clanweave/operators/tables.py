@@ -12,6 +12,26 @@ from clanweave.operators.sequences import foreign_id_filter, remove_ids
 from clanweave.sources.ordered import ORDER, records
 
 
+# Lines of the flat file.
+LINE = {
+    "description": r"^DE   (?!\s*EC=)(.*);",
+    "organism": r"^OS   (.*)$",
+    "go": r"^DR   GO; GO:(\d+); F:(.*);",
+    "brenda": r"^DR   BRENDA; (\S+); (\S+)",
+    "gene": r"^GN   \w+=(\w+)",
+    "pdb": r"^DR   PDB; (\w+);",
+    "kegg": r"^DR   KEGG; (\S+); \S+",
+    "string": r"^DR   STRING; (\S+); \S+",
+    "patric": r"^DR   PATRIC; (\S+); \S+",
+    "ec": r"^DE\s+EC=(.*);",
+    "cazy": r"^DR\s+CAZy; (\w+);",
+    "taxon": r"(?m)^OX   NCBI_TaxID=(\d+)",
+    "accession": r"(?m)^AC\s+(\w+);",
+    "proteome": r"(?m)^KW\s+Reference proteome(\s+\{([^\}]+)\})?",
+    "head": r"(?m)^ID\s+(\w+)\s+(\w+);\s+(\d+)",
+}
+
+
 # ---- annotations ----------------------------------------------------------------------------------
 def _lines(record: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(record, F.lit("(?m)" + pattern), F.lit(group))
@@ -34,23 +54,23 @@ def build_annotations(
     side tables.
     """
     r = F.col("record")
-    de = F.array_join(_lines(r, r"^DE   (?!\s*EC=)(.*);"), "")
-    os = F.array_join(_lines(r, r"^OS   (.*)$"), "")
-    tax = F.regexp_extract(r, r"(?m)^OX   NCBI_TaxID=(\d+)", 1)
-    go = F.zip_with(_lines(r, r"^DR   GO; GO:(\d+); F:(.*);", 1), _lines(r, r"^DR   GO; GO:(\d+); F:(.*);", 2), lambda a, b: F.replace(F.concat_ws(" ", a, b), F.lit(","), F.lit(" ")))
-    brenda = F.zip_with(_lines(r, r"^DR   BRENDA; (\S+); (\S+)", 1), _lines(r, r"^DR   BRENDA; (\S+); (\S+)", 2), lambda a, b: F.concat_ws(" ", a, b))
-    kw = r"(?m)^KW\s+Reference proteome(\s+\{([^\}]+)\})?"
-    head = r"(?m)^ID\s+(\w+)\s+(\w+);\s+(\d+)"
+    de = F.array_join(_lines(r, LINE["description"]), "")
+    os = F.array_join(_lines(r, LINE["organism"]), "")
+    tax = F.regexp_extract(r, LINE["taxon"], 1)
+    go = F.zip_with(_lines(r, LINE["go"], 1), _lines(r, LINE["go"], 2), lambda a, b: F.replace(F.concat_ws(" ", a, b), F.lit(","), F.lit(" ")))
+    brenda = F.zip_with(_lines(r, LINE["brenda"], 1), _lines(r, LINE["brenda"], 2), lambda a, b: F.concat_ws(" ", a, b))
+    kw = LINE["proteome"]
+    head = LINE["head"]
     status = F.regexp_extract(r, head, 2)
     desc = S.clean_description(de)
     out = records.select(
-        F.regexp_extract(r, r"(?m)^AC\s+(\w+);", 1).alias("accession"), F.regexp_extract(r, head, 1).alias("Uniprot_ID"), status.alias("STATUS"),
+        F.regexp_extract(r, LINE["accession"], 1).alias("accession"), F.regexp_extract(r, head, 1).alias("Uniprot_ID"), status.alias("STATUS"),
         F.regexp_extract(r, head, 3).cast("int").alias("Sequence_Length"), F.nullif(tax, F.lit("")).cast("int").alias("Taxonomy_ID"),
         desc.alias("Description"), F.when(status == "Reviewed", desc).alias("SwissProt_Description"), S.clean_organism(os).alias("Organism"),
-        _last(_lines(r, r"^GN   \w+=(\w+)")).alias("GN"), _listed(_lines(r, r"^DR   PDB; (\w+);")).alias("pdb"), _listed(go).alias("GO"),
-        _listed(_lines(r, r"^DR   KEGG; (\S+); \S+")).alias("KEGG"), _listed(_lines(r, r"^DR   STRING; (\S+); \S+")).alias("STRING"), _listed(brenda).alias("BRENDA"),
-        _listed(_lines(r, r"^DR   PATRIC; (\S+); \S+")).alias("PATRIC"), _last(_lines(r, r"^DE\s+EC=(.*);")).alias("EC"),
-        _listed(_lines(r, r"^DR\s+CAZy; (\w+);")).alias("Cazy"), S.is_fragment(de).alias("Fragment"),
+        _last(_lines(r, LINE["gene"])).alias("GN"), _listed(_lines(r, LINE["pdb"])).alias("pdb"), _listed(go).alias("GO"),
+        _listed(_lines(r, LINE["kegg"])).alias("KEGG"), _listed(_lines(r, LINE["string"])).alias("STRING"), _listed(brenda).alias("BRENDA"),
+        _listed(_lines(r, LINE["patric"])).alias("PATRIC"), _last(_lines(r, LINE["ec"])).alias("EC"),
+        _listed(_lines(r, LINE["cazy"])).alias("Cazy"), S.is_fragment(de).alias("Fragment"),
         F.when(r.rlike(kw), F.when(F.regexp_extract(r, kw, 2) != "", F.regexp_extract(r, kw, 2)).otherwise("1")).alias("Ref_Proteome"),
     )
     if gdna is not None:
