@@ -9,7 +9,7 @@ from clanweave.plans.catalog import query
 from clanweave.plans.q_abundance import merged
 from clanweave.plans.q_genomes import COOC, CLUSTERED, colors, diagrams, rows
 from clanweave.plans.q_network import ATTS, attributes
-from clanweave.plans.views import acc
+from clanweave.plans.views import SQL_LETTERS, acc, letters_of
 from clanweave.session import scratch_path
 from clanweave.sources import readers as R
 from clanweave.sources import writers as X
@@ -40,12 +40,12 @@ def _(v):
 
 @query(
     "src02_read_fasta_multi_header",
-    """with d as (select doc_id, coalesce(nullif(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), ''), 'X') as seq, row_number() over (order by doc_id) - 1 as ord from documents)
+    """with d as (select doc_id, coalesce(nullif(@LETTERS@, ''), 'X') as seq, row_number() over (order by doc_id) - 1 as ord from documents)
     select ord, case when ord < 10000000 then lpad(ord::varchar, 7, 'z') else ord::varchar end as id, pos, case pos when 0 then 'd' || doc_id else 'alt ' || doc_id end as header, length(seq)::int as seq_len
-    from d, (values (0::bigint), (1::bigint)) p(pos)""",
+    from d, (values (0::bigint), (1::bigint)) p(pos)""".replace("@LETTERS@", SQL_LETTERS),
 )
 def _(v):
-    seq = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
+    seq = letters_of("text")
     rec = F.concat(F.lit(">d"), F.col("doc_id").cast("string"), F.lit("\n>alt "), F.col("doc_id").cast("string"), F.lit("\n"), F.when(seq == "", "X").otherwise(seq))
     ordered = v.table("documents").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select(rec.alias("value"))
     return R.read_fasta_multi_header(v.spark, stored(v, ordered, "multi")).drop("seq")

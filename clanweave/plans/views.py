@@ -21,6 +21,17 @@ MIN_SCORE = 26
 WINDOW = 10
 
 
+# Letters with marks stand for the plain ones, so that texts of all languages keep their letters as residues.
+MARKED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝßàáâãäåçèéêëìíîïñòóôõöøùúûüýÿ"
+UNMARKED = "AAAAAACEEEEIIIINOOOOOOUUUUYsaaaaaaceeeeiiiinoooooouuuuyy"
+SQL_LETTERS = f"upper(regexp_replace(translate(text, '{MARKED}', '{UNMARKED}'), '[^A-Za-z]', '', 'g'))"
+
+
+def letters_of(text: str):
+    """The letters of a text in upper case, as a sequence of residues."""
+    return F.upper(F.regexp_replace(F.translate(text, MARKED, UNMARKED), "[^A-Za-z]", ""))
+
+
 def acc(key):
     """Accession of a numeric key: ``A`` + 7 or more digits."""
     key = F.col(key) if isinstance(key, str) else key
@@ -203,7 +214,7 @@ class Views:
     # ---- sequences -------------------------------------------------------------------------------
     @property
     def sequences(self) -> DataFrame:
-        seq = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
+        seq = letters_of("text")
         return self.table("documents").select(
             acc("doc_id").alias("id"),
             F.concat(acc("doc_id"), F.lit(" "), "source").alias("header"),
@@ -358,7 +369,7 @@ SQL_VIEWS = {
     "query_ids": """select case o_orderkey % 5 when 0 then (o_custkey + 500000)::varchar when 1 then 'WP_' || (o_custkey + 500000)
         when 2 then 'tr|A' || (1000000 + o_custkey) when 3 then 'A' || (1000000 + o_custkey * 3) else '??' || o_custkey end as id from orders""",
     "sequences": """select 'A' || (1000000 + doc_id) as id, 'A' || (1000000 + doc_id) || ' ' || source as header,
-        upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) as seq, length(regexp_replace(text, '[^A-Za-z]', '', 'g'))::int as seq_len from documents""",
+        @LETTERS@ as seq, length(@LETTERS@)::int as seq_len from documents""".replace("@LETTERS@", SQL_LETTERS),
     "genes": """select "ID", "AC", "NUM", "TYPE", "DIRECTION", 1000 * "NUM" as start, 1000 * "NUM" + 30 * qty as stop from (
         select 'CT' || l_suppkey as "ID", 'A' || (1000000 + l_partkey) as "AC", (l_suppkey % 2)::int as "TYPE",
         case when l_returnflag = 'N' then 1 else 0 end as "DIRECTION", l_quantity::int as qty,
