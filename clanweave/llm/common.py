@@ -11,8 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-#: Rows of a batch that are turned into Python objects at a time; bounds the memory of a task.
-ROWS = 256
+#: Rows that are handed to Python at a time, and rows of them that are turned into Python objects at a time; whole texts are long rows,
+#: so the session's usual 10,000 would hold hundreds of megabytes in the executor and again in its worker.
+BATCH, ROWS = 500, 256
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+_HELD: dict[str, dict] = {}
+
+
+def held_by_worker(operator: str) -> dict:
+    """What a Python worker keeps between the tasks of one operator (models and memos). A task of another operator drops it."""
+    return _HELD.setdefault(operator, {})
+
+
+def drop_others(keeps: str) -> None:
+    for operator, state in _HELD.items():
+        if operator != keeps:
+            state.clear()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,12 +47,19 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def map_arrow(df: DataFrame, schema: str | StructType, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]]) -> DataFrame:
-    """``mapInArrow`` whose function yields dicts of columns (lists, numpy or Arrow arrays)."""
+def map_arrow(df: DataFrame, schema: str | StructType, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]], keeps: str = "") -> DataFrame:
+    """``mapInArrow`` whose function yields dicts of columns (lists, numpy or Arrow arrays).
+
+    ``keeps`` names the operator whose state a worker keeps. The session's Arrow batches are cut to ``BATCH`` rows if they are larger.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_KEY)) <= BATCH:
+        conf.set(_BATCH_KEY, BATCH)
     struct = _parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(struct)
 
     def run(batches):
+        drop_others(keeps)
         for columns in fn(slices(batches)):
             arrays = [as_array(columns[f.name], f.type) for f in arrow]
             if len(arrays[0]):

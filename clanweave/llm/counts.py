@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 
-from clanweave.llm.common import Memo, id_text, longs, map_arrow, octets
+from clanweave.llm.common import Memo, held_by_worker, id_text, longs, map_arrow, octets
 
 #: Distinct words whose count a Python worker remembers.
 MEMO = 400_000
@@ -106,7 +106,7 @@ class Counter:
         return (upto[ends] - upto[np.r_[0, ends[:-1]]]).tolist()
 
 
-_LOADED: dict[str, Counter] = {}
+_LOADED: dict[str, Counter] = held_by_worker("counts")
 
 
 def counter(path: str) -> Counter:
@@ -130,4 +130,4 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int = 2048) -> Dat
             n = tokens.count(texts)
             yield {"doc_id": longs(batch), "n_bytes": [len(t) for t in texts], "n_tokens": n, "over_limit": [x > limit for x in n]}
 
-    return map_arrow(id_text(docs), "doc_id long, n_bytes long, n_tokens long, over_limit boolean", run)
+    return map_arrow(id_text(docs), "doc_id long, n_bytes long, n_tokens long, over_limit boolean", run, keeps="counts")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clanweave.llm.common import Memo, id_text, map_arrow, mix, octets
+from clanweave.llm.common import Memo, held_by_worker, id_text, map_arrow, mix, octets
 from clanweave.session import materialize, scratch_path
 
 #: Distinct words whose ids a Python worker remembers; keys of one index bucket; bytes of one range read.
@@ -76,7 +76,7 @@ class WordEncoder:
         return b"".join(self.memo.values(text.split(), self._encode))
 
 
-_LOADED: dict[str, WordEncoder] = {}
+_LOADED: dict[str, WordEncoder] = held_by_worker("ids")
 
 
 def word_encoder(path: str) -> WordEncoder:
@@ -292,7 +292,7 @@ def write_store(docs: DataFrame, tokenizer_file: str, end_id: int = 1, folder: s
 
     ranged = id_text(docs).repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     ranged = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    rows = materialize(map_arrow(ranged, "doc_id long, copy long, shard long, first long, count long, edge boolean", write), "ids-rows")
+    rows = materialize(map_arrow(ranged, "doc_id long, copy long, shard long, first long, count long, edge boolean", write, keeps="ids"), "ids-rows")
     totals = materialize(rows.groupBy("shard").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("rows")), "ids-totals")
 
     # Copies of an id that lies on both sides of a shard's edge go on counting; at most two ids of a shard do.

@@ -19,12 +19,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from clanweave.llm.common import Memo, id_text, longs, map_arrow, octets
+from clanweave.llm.common import Memo, held_by_worker, id_text, longs, map_arrow, octets
 
 SPACE = "▁"
 LETTERS = "[A-Za-z0-9À-ÖØ-öø-ſ]"
 #: Distinct stretches of text whose ids a Python worker remembers, and pairs whose compatibility it remembers.
-MEMO, PAIRS = 350_000, 1_000_000
+MEMO, PAIRS = 200_000, 300_000
 
 
 class Backtracker:
@@ -153,7 +153,7 @@ class Backtracker:
         return ids, b" ".join([digits for _, digits in found if digits] + [b"%d" % self.end])
 
 
-_LOADED: dict[str, Backtracker] = {}
+_LOADED: dict[str, Backtracker] = held_by_worker("spm")
 
 
 def encoder(model_file: str) -> Backtracker:
@@ -191,4 +191,4 @@ def encode_documents(docs: DataFrame, model_file: str, with_ids: bool = True, wi
                 out["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out["ids"])))
             yield out | {"doc_id": longs(batch)}
 
-    return map_arrow(id_text(docs), schema, run)
+    return map_arrow(id_text(docs), schema, run, keeps="spm")
