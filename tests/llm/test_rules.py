@@ -147,6 +147,15 @@ def test_secrets(docs):
     assert secrets.digests(docs([])).count() == 0
 
 
+def test_one_secret_per_class(docs):
+    """Random keys of digits, of letters and of joined letter groups are found; words of either kind are not."""
+    keys = {"digits": "40718293655098317426", "letters": "qXvKzBwJtRgNfHdMpLcS", "groups": "XKQJW-PZTRB-NMVCD-HGFSL", "lower": "zqkvjxwpbfhgnmtrdlcy_vbnq", "mixed": "Zx8Qw3Lm9Tr4Vb7Nk2Hs5", "hexadecimal": "ABCDEF0123456789FEDC"}
+    words = ["thisisaverylongwordoflettersonly", "getElementsByClassNameAndAttribute", "/usr/local/share/applications", "BENCHMARK_DECONTAMINATION_STAGE", "Geschwindigkeitsbegrenzungen", "0" * 22, "11111111112222222222", "longVariableNameOfSomething="]
+    rows = [*enumerate(f"see {x} here" for x in [*keys.values(), *words])]
+    got = {r.doc_id: r.spans for r in secrets.digests(docs(rows)).collect()}
+    assert got == {i: f"entropy:4:{4 + len(x)}" if i < len(keys) else "" for i, x in enumerate([*keys.values(), *words])}
+
+
 # --- personal data --------------------------------------------------------------------------------------------------------
 
 
