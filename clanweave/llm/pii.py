@@ -34,7 +34,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGITS = bytes(b for b in range(256) if not 48 <= b <= 57)
 _TERM = re.compile(r"[^\W\d_]{3,}")
-_TERM_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+_TERM_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 else 32 for b in range(256))
 
 
 def luhn(digits: str) -> bool:
@@ -92,6 +92,13 @@ def contexts(raw: bytes, spans: list[tuple[int, int, int]], reach: int) -> list[
     return out
 
 
+def term_words(raw: bytes) -> list[bytes]:
+    """All terms of a text, cut and folded as those near entities are; a byte table does it for ASCII."""
+    if raw.isascii():
+        return [w for w in raw.translate(_TERM_TABLE).split() if len(w) > 2]
+    return [w.encode().lower() for w in _TERM.findall(raw.decode())]
+
+
 def fold(term: str) -> str:
     """A-Z lower-cased, as the counting of terms does it."""
     return term.encode().lower().decode()
@@ -167,7 +174,7 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
         memo, totals = Memo(400_000), {}
         for batch in batches:
-            words = [w for raw in octets(batch) for w in raw.translate(_TERM_TABLE).split() if len(w) > 2]
+            words = [w for raw in octets(batch) for w in term_words(raw)]
             known = memo.values(words, judge)
             for word in (w for w, k in zip(words, known, strict=True) if k):
                 totals[word] = totals.get(word, 0) + 1

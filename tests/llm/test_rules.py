@@ -207,6 +207,17 @@ def test_revealing_terms(docs):
     assert pii.sanitise(df).count() == len(rows) and pii.digests(docs([])).count() == 0 and pii.sanitise(docs([])).count() == 0
 
 
+def test_terms_beside_other_marks(spark, docs):
+    """Quotes, dashes, ellipses, no-break spaces and CJK punctuation end a term wherever it is counted."""
+    texts = ["“Kontakt” —kontakt… x", "kontakt kontakt、kontakt。", "«été» Été naïve_naive abé 日本語。日本語", "kontakt, kontakt_9kontakt ab"]
+    want = {}
+    for t in texts:
+        for m in pii._TERM.findall(t):
+            want[pii.fold(m)] = want.get(pii.fold(m), 0) + 1
+    terms = spark.createDataFrame([(t,) for t in want], "term string")
+    assert {x.term: x.n for x in pii.term_counts(docs([*enumerate(texts)]), terms).collect()} == want and want["kontakt"] == 8
+
+
 # --- pipeline -------------------------------------------------------------------------------------------------------------
 
 
