@@ -3,8 +3,12 @@
 Entities (e-mail and network addresses, card and phone numbers) are protected. Terms that stand within ``REACH`` words of an entity may reveal it.
 The corpus tells how strongly: with n(t) occurrences of a term, n(t, e) of them beside entity e, the pointwise mutual
 information log2 p(t, e) / (p(t) p(e)) reaches the information -log2 p(e) of the entity itself, less d bits, exactly if
-n(t, e) / n(t) >= 2^-d. A term for which d is at most ``REMOVE_BITS`` is removed, at most ``GENERAL_BITS`` is generalised, if it stands
-beside the entity in at least ``SUPPORT`` different contexts (copies of a context are no new evidence).
+n(t, e) / n(t) >= 2^-d. A term for which d is at most ``REMOVE_BITS`` is removed, at most ``GENERAL_BITS`` is generalised.
+Copies of a context are no new evidence: a share that rests on c < ``SUPPORT`` different contexts is smoothed to c / (c n(t) / n(t, e) + ``PRIOR``).
+
+Most entities stand in one document only. Terms are therefore judged in the same way against the class of all entities of a kind and
+against the class of all entities (named by the kind, and ``any``): such a term discloses that an entity is there. A class is judged
+from ``SUPPORT`` different pairs of context and entity on, and if a term stands beside two of its entities at least.
 """
 
 from __future__ import annotations
@@ -22,8 +26,10 @@ from clanweave.llm.common import Memo, fresh, id_text, map_arrow, octets
 from clanweave.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words on either side of an entity, contexts that must agree, bits of the two thresholds.
-REACH, SUPPORT, REMOVE_BITS, GENERAL_BITS = 8, 3, 0.15, 1.0
+#: Words on either side of an entity, contexts from which on a share isn't smoothed, what smoothing adds, bits of the two thresholds.
+REACH, SUPPORT, PRIOR, REMOVE_BITS, GENERAL_BITS = 8, 3, 2.0, 0.15, 1.0
+#: The class of all entities.
+ANY = "any"
 #: Bits of the broadcast filter of terms worth counting; it bounds the broadcast, not the terms.
 FILTER_BITS = 1 << 22
 # The base patterns.
@@ -76,9 +82,13 @@ def base_spans(raw: bytes) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def contexts(raw: bytes, spans: list[tuple[int, int, int]], reach: int) -> list[tuple[str, str, int, int, int]]:
-    """(entity, term, start, end, context) of the terms near each span; the context is a hash of all terms near it."""
-    text, out = raw.decode(), []
+def contexts(raw: bytes, spans: list[tuple[int, int, int]], reach: int) -> list[tuple[str, str, int, int, int, int]]:
+    """(entity, term, start, end, context, first) of the terms near each span; the context is a hash of all terms near it.
+
+    ``first`` has bit 1 where the text has this occurrence of the term beside this entity for the first time, bit 2 beside one of the kind,
+    bit 4 beside any, so that no occurrence counts twice.
+    """
+    text, out, seen = raw.decode(), [], set()
     for start, kind, end in spans:
         left, right = start, end
         for _ in range(reach):
@@ -88,7 +98,12 @@ def contexts(raw: bytes, spans: list[tuple[int, int, int]], reach: int) -> list[
         terms = [fold(m[0]) for m in near]
         own = xxhash.xxh64_intdigest(" ".join(terms).encode()) >> 1
         entity = f"{KINDS[kind]}:{fold(text[start:end])}"
-        out += [(entity, term, m.start(), m.end(), own) for term, m in zip(terms, near, strict=True)]
+        for term, m in zip(terms, near, strict=True):
+            first = 0
+            for bit, group in ((1, entity), (2, KINDS[kind]), (4, ANY)):
+                first |= bit * ((group, m.start()) not in seen)
+                seen.add((group, m.start()))
+            out.append((entity, term, m.start(), m.end(), own, first))
     return out
 
 
@@ -126,9 +141,9 @@ def _word_end(text: str, at: int) -> int:
 
 def find(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """Per row: doc_id, text_key (hash of the text), base (spans) and near (terms in reach of an entity)."""
-    kind = "doc_id long, text_key long, base array<struct<start:long,kind:int,end:long>>, near array<struct<entity:string,term:string,start:long,end:long,context:long>>"
+    kind = "doc_id long, text_key long, base array<struct<start:long,kind:int,end:long>>, near array<struct<entity:string,term:string,start:long,end:long,context:long,first:int>>"
     base_type = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
-    near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("context", pa.int64())]))
+    near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("context", pa.int64()), ("first", pa.int32())]))
 
     def run(batches) -> Iterator[dict]:
         for batch in batches:
@@ -136,21 +151,34 @@ def find(docs: DataFrame, reach: int = REACH) -> DataFrame:
             for raw in octets(batch):
                 spans = base_spans(raw)
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                near.append([dict(zip(("entity", "term", "start", "end", "context"), x, strict=True)) for x in contexts(raw, spans, reach)] if spans else [])
+                near.append([dict(zip(("entity", "term", "start", "end", "context", "first"), x, strict=True)) for x in contexts(raw, spans, reach)] if spans else [])
                 keys.append(xxhash.xxh64_intdigest(raw) >> 1)
             yield {"doc_id": batch.column("doc_id"), "text_key": keys, "base": pa.array(base, base_type), "near": pa.array(near, near_type)}
 
     return materialize(map_arrow(id_text(docs), kind, run), "private")
 
 
-def disclosures(docs: DataFrame, found: DataFrame, support: int = SUPPORT, remove_bits: float = REMOVE_BITS, general_bits: float = GENERAL_BITS) -> DataFrame:
-    """(entity, term, short, removed): the terms that reveal an entity; ``short`` is what their mutual information lacks, in bits."""
+def groups_of(entity: str) -> Column:
+    """What a term beside ``entity`` is judged against, in the order of the bits of ``first``: the entity, its kind, the class of all."""
+    return F.array(F.col(entity), F.substring_index(entity, ":", 1), F.lit(ANY))
+
+
+def disclosures(docs: DataFrame, found: DataFrame, support: int = SUPPORT, remove_bits: float = REMOVE_BITS, general_bits: float = GENERAL_BITS, prior: float = PRIOR) -> DataFrame:
+    """(entity, term, short, removed): the terms that reveal an entity; ``short`` is what their mutual information lacks, in bits.
+
+    ``entity`` is an entity, a kind or ``any``; the latter two only where the term stands beside more than one of their entities.
+    """
     near = found.select(F.explode("near").alias("x")).select("x.*")
-    per_context = near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
-    pairs = per_context.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("together"))
-    pairs = materialize(pairs.where(F.col("contexts") >= support), "private-pairs")
+    near = near.select("entity", "term", "context", "first", F.posexplode(groups_of("entity")).alias("bit", "group"))
+    near = near.where(F.expr("shiftright(first, bit) & 1 = 1"))
+    per_context = near.groupBy("group", "bit", "term", "entity", "context").agg(F.count(F.lit(1)).alias("n"))
+    per_entity = per_context.groupBy("group", "bit", "term", "entity").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("together"))
+    pairs = per_entity.groupBy("group", "bit", "term").agg(F.sum("contexts").alias("contexts"), F.sum("together").alias("together"), F.count(F.lit(1)).alias("entities"))
+    lacks = F.when(F.col("contexts") >= support, 0.0).otherwise(prior / F.col("contexts"))  # of 1 / share
+    may = F.when(F.col("bit") == 0, F.log2(1 + lacks) <= general_bits).otherwise((F.col("contexts") >= support) & (F.col("entities") > 1))
+    pairs = materialize(pairs.where(may).select(F.col("group").alias("entity"), "term", "together", lacks.alias("lacks")), "private-pairs")
     counts = term_counts(docs, pairs.select("term").distinct())
-    short = F.log2(F.col("n") / F.col("together"))
+    short = F.log2(F.col("n") / F.col("together") + F.col("lacks"))
     return pairs.join(counts, "term").select("entity", "term", short.alias("short"), (short <= remove_bits).alias("removed")).where(F.col("short") <= general_bits)
 
 
@@ -191,7 +219,8 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 def spans_of(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Per row of ``found``: doc_id, text_key, base and terms (spans with kind 4: removed, 5: generalised)."""
     told = materialize(disclosures(docs, found), "private-terms")
-    near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.*")
+    near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.term", "x.start", "x.end", groups_of("x.entity").alias("groups"))
+    near = near.select("doc_id", "text_key", "term", "start", "end", F.explode("groups").alias("entity"))
     hits = near.join(told, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max("removed").alias("removed"))
     kind = F.when(F.col("removed"), 4).otherwise(5).alias("kind")
     terms = hits.select("doc_id", "text_key", F.struct("start", kind, "end").alias("t")).groupBy("doc_id", "text_key").agg(F.collect_list("t").alias("terms"))

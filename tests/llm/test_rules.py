@@ -218,6 +218,29 @@ def test_terms_beside_other_marks(spark, docs):
     assert {x.term: x.n for x in pii.term_counts(docs([*enumerate(texts)]), terms).collect()} == want and want["kontakt"] == 8
 
 
+def test_terms_that_reveal_a_class(docs):
+    """Addresses stand in one text each: 'mailto' is beside e-mail addresses only, 'reachable' beside any entity; two contexts are smoothed."""
+    r = random.Random(9)
+
+    def letters(n):
+        return " ".join("".join(r.choice("aeiourst") for _ in range(9)) for _ in range(n))
+
+    rows = [(k, f"the {letters(9)} mailto reachable user{k}@corp.example {letters(9)} the") for k in range(5)]
+    rows += [(10 + k, f"the {letters(9)} reachable 10.0.0.{k} {letters(9)} the") for k in range(2)]
+    rows += [(20 + k, f"the {letters(9)} wendelin boss@corp.example and boss@corp.example {letters(9)}") for k in range(2)]
+    rows += [(30 + k, letters(20)) for k in range(5)] + [(40, rows[0][1])]
+    df = docs(rows)
+    told = {(x.entity, x.term): (round(x.short, 6), x.removed) for x in pii.disclosures(df, pii.find(df)).collect()}
+    assert told == {
+        ("email", "mailto"): (0.0, True), ("any", "mailto"): (0.0, True),
+        ("email", "reachable"): (round(math.log2(8 / 6), 6), False), ("any", "reachable"): (0.0, True),
+        ("email:boss@corp.example", "wendelin"): (1.0, False),
+        ("email:boss@corp.example", "and"): (1.0, False),  # beside both mentions, counted once
+    }
+    texts = {x.doc_id: x.text for x in pii.sanitise(df).collect()}
+    assert "mailto" not in texts[0] and "reachable" not in texts[10] and "[term] [email]" in texts[20]
+
+
 # --- pipeline -------------------------------------------------------------------------------------------------------------
 
 
