@@ -1,8 +1,8 @@
 """Quality rules: hashed n-gram log-likelihood ratio between trusted target and raw corpus. Columns only, no Python on rows.
 
-Words and pairs of neighbouring words are hashed into ``buckets``. Two multinomials are estimated over all documents: one from all of them
-(raw), one from those that are labelled good (target). A document's score is the sum over its n-grams of log(target / raw), divided by the
-number of n-grams; a document is kept if it fails no base rule and its score reaches the threshold. Nothing is sampled.
+Words and pairs of neighbouring words are hashed into ``buckets``. Two multinomials are estimated: one from all documents
+(raw), one from at most ``TRUSTED`` of those that are labelled good (target; its counts stop growing there). A document's score is the sum over its n-grams of log(target / raw), divided by the
+number of n-grams; a document is kept if it fails no base rule and its score reaches the threshold. Raw counts and verdicts cover all documents.
 """
 
 from __future__ import annotations
