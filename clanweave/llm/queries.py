@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clanweave.llm import counts, decontaminate, id_store, line_dedup, pii, quality, secrets, simhash, spm, substring_dedup
+from clanweave.llm import counts, decontaminate, fingerprints, id_store, line_dedup, pii, quality, secrets, simhash, spm, substring_dedup
 from clanweave.llm.common import table
 
 QUERIES, ORACLE = {}, {}
@@ -132,3 +132,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
+
+
+@query("op11_document_fingerprints")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"), radius=3, every=20)
