@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clanweave.llm import counts, decontaminate, fingerprints, id_store, line_dedup, pii, quality, secrets, simhash, spm, substring_dedup
+from clanweave.llm import counts, decontaminate, fingerprints, hard_negatives, id_store, line_dedup, pii, quality, secrets, simhash, spm, substring_dedup
 from clanweave.llm.common import table
 
 QUERIES, ORACLE = {}, {}
@@ -137,3 +137,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_document_fingerprints")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"), radius=3, every=20)
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    with rows as (
+      select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+      from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scores as (
+      select a.vec_id as anchor_id, c.vec_id as id, a.label = c.label as same, list_inner_product(a.v, c.v)::bigint as score
+      from rows a join rows c on a.vec_id % 50 = 0 and a.vec_id <> c.vec_id),
+    positives as (
+      select anchor_id, id as positive_id, score as positive_score
+      from (select *, row_number() over (partition by anchor_id order by score desc, id) as r from scores where same) where r <= 5),
+    negatives as (
+      select p.*, s.id as negative_id, s.score as negative_score, row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.id) as rank
+      from positives p join scores s on s.anchor_id = p.anchor_id and not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score)
+    select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from negatives where rank <= 3""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", "embedding", moved.alias("label")), F.col("vec_id") % 50 == 0)
