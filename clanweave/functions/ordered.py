@@ -24,21 +24,22 @@ def ordered_scan(
     totals: Mapping[str, Column] | None = None,
     lags: Mapping[str, Column] | None = None,
     leads: Mapping[str, Column] | None = None,
+    mins: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Add 1-based ranks, running sums, group totals and neighbour values.
+    """Add 1-based ranks, running sums, running minima, group totals and neighbour values.
 
     ``order`` must be a total order within a group (rows that tie must be interchangeable). ``by`` may be
     empty for a global order.
     """
     by = list(by)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    sums, totals, lags, leads = dict(sums or {}), dict(totals or {}), dict(lags or {}), dict(leads or {})
+    sums, totals, lags, leads, mins = dict(sums or {}), dict(totals or {}), dict(lags or {}), dict(leads or {}), dict(mins or {})
     payload = list(df.columns)
 
     # The partition number is only meaningful once it is stored: a second evaluation may place rows
     # differently, hence the written table.
     placed = df
-    for kind, exprs in (("s", sums), ("t", totals), ("l", lags), ("f", leads)):
+    for kind, exprs in (("s", sums), ("t", totals), ("l", lags), ("f", leads), ("m", mins)):
         for name, expr in exprs.items():
             placed = placed.withColumn(f"_{kind}_{name}", expr)
     # NULL groups get a stand-in and a flag, so that windows and the final join share one plain hash partitioning.
@@ -56,6 +57,8 @@ def ordered_scan(
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for name in sums:
         local = local.withColumn(f"_ls_{name}", F.sum(f"_s_{name}").over(running))
+    for name in mins:
+        local = local.withColumn(f"_lm_{name}", F.min(f"_m_{name}").over(running))
     for name in lags:
         local = local.withColumn(f"_ll_{name}", F.lag(f"_l_{name}").over(inside))
     for name in leads:
@@ -66,6 +69,7 @@ def ordered_scan(
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     aggs += [F.sum(f"_s_{n}").alias(f"_es_{n}") for n in sums]
     aggs += [F.sum(f"_t_{n}").alias(f"_et_{n}") for n in totals]
+    aggs += [F.min(f"_m_{n}").alias(f"_em_{n}") for n in mins]
     aggs += [F.max_by(f"_l_{n}", "_rn").alias(f"_el_{n}") for n in lags]
     aggs += [F.min_by(f"_f_{n}", "_rn").alias(f"_ef_{n}") for n in leads]
     base = local if (lags or leads) else placed
@@ -77,6 +81,7 @@ def ordered_scan(
     carry.append(F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_c_cnt"))
     carry += [F.sum(f"_es_{n}").over(before).alias(f"_c_s_{n}") for n in sums]
     carry += [F.sum(f"_et_{n}").over(whole).alias(f"_c_t_{n}") for n in totals]
+    carry += [F.min(f"_em_{n}").over(before).alias(f"_c_m_{n}") for n in mins]
     carry += [F.lag(f"_el_{n}").over(across).alias(f"_c_l_{n}") for n in lags]
     carry += [F.lead(f"_ef_{n}").over(across).alias(f"_c_f_{n}") for n in leads]
     carried = stitches.select(*carry)
@@ -91,6 +96,7 @@ def ordered_scan(
         both = F.coalesce(parts[0], F.lit(0)) + F.coalesce(parts[1], F.lit(0))
         cols.append(F.when(parts[0].isNull() & parts[1].isNull(), None).otherwise(both).alias(n))
     cols += [F.col(f"_c_t_{n}").alias(n) for n in totals]
+    cols += [F.least(F.col(f"_c_m_{n}"), F.col(f"_lm_{n}")).alias(n) for n in mins]
     cols += [F.when(F.col("_rn") == 1, F.col(f"_c_l_{n}")).otherwise(F.col(f"_ll_{n}")).alias(n) for n in lags]
     cols += [
         F.when(F.col("_rn") == F.col("_n"), F.col(f"_c_f_{n}")).otherwise(F.col(f"_lf_{n}")).alias(n) for n in leads

@@ -18,12 +18,13 @@ def hot(spark, n=3000):
 def test_scan_equals_window(spark, rows):
     df = hot(spark)
     w = Window.partitionBy("g").orderBy(F.desc("o"))
-    got = ordered_scan(df, ["g"], [F.desc("o")], rank="r", sums={"s": F.col("x")}, totals={"t": F.col("x")}, lags={"a": F.col("y")}, leads={"b": F.col("y")})
+    got = ordered_scan(df, ["g"], [F.desc("o")], rank="r", sums={"s": F.col("x")}, totals={"t": F.col("x")}, lags={"a": F.col("y")}, leads={"b": F.col("y")}, mins={"m": F.col("x")})
     want = df.select(
         "*", F.row_number().over(w).alias("r"), F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"),
         F.sum("x").over(Window.partitionBy("g")).alias("t"), F.lag("y").over(w).alias("a"), F.lead("y").over(w).alias("b"),
+        F.min("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("m"),
     )
-    assert rows(got, "o", "r", "s", "t", "a", "b") == rows(want, "o", "r", "s", "t", "a", "b")
+    assert rows(got, "o", "r", "s", "t", "a", "b", "m") == rows(want, "o", "r", "s", "t", "a", "b", "m")
 
 
 def test_hot_group_is_spread(spark):
