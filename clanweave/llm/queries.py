@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clanweave.llm import counts, decontaminate, fingerprints, hard_negatives, id_store, line_dedup, pii, quality, secrets, simhash, spm, substring_dedup
+from clanweave.llm import counts, decontaminate, fingerprints, hard_negatives, id_store, line_dedup, pii, prefix_trie, quality, secrets, simhash, spm, substring_dedup
 from clanweave.llm.common import table
 
 QUERIES, ORACLE = {}, {}
@@ -139,6 +139,36 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"), radius=3, every=20)
 
 
+#: CRC-32 of an ASCII string, one bit a step.
+_BYTE = "xor(crc, case when i % 8 = 0 then ascii(substr({0}, i // 8 + 1, 1)) else 0 end)"
+CRC = f"xor(list_reduce(range(8 * length({{0}})), lambda crc, i: xor({_BYTE} >> 1, ({_BYTE} & 1) * 3988292384), 4294967295::bigint), 4294967295::bigint)"
+
+
+@query(
+    "op12_conversation_trie",
+    f"""
+    with own as (
+      select conv_id as c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} order by turn nulls first) as l
+      from conversations where conv_id is not null group by 1),
+    held as (select c, l, {CRC.format("c::varchar")} % 9 as h from own),
+    rebuilt as (
+      select held.c, list_concat(coalesce(list_slice(base.l, 1, h), []), coalesce(list_slice(held.l, h + 1, len(held.l)), [])) as l
+      from held left join own base on base.c = held.c - held.c % 5),
+    places as (select c, l, unnest(range(0, len(l) + 1)) as d from rebuilt),
+    node as (
+      select list_slice(l, 1, d) as p, d, min(c) as conv_id, count(*) as n, sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (len(l) = d), '')) as ends
+      from places group by 1, 2),
+    kids as (select list_slice(p, 1, d - 1) as p, d - 1 as d, count(*) as k from node where d > 0 group by 1, 2),
+    sized as (select node.*, coalesce(k, 0) as k, case when d = 0 then 0 else (n - 1) * strlen(p[d].t) end as saved from node left join kids using (p, d)),
+    upward as (select list_slice(p, 1, a) as p, a as d, sum((k = 0)::int) as leaves, sum(saved) as saved from (select *, unnest(range(0, d + 1)) as a from sized) group by 1, 2)
+    select s.conv_id, s.d::bigint as depth, up.conv_id as parent_conv_id, s.n::bigint as n_convs, s.k::bigint as n_children, leaves::bigint as n_leaves,
+      upward.saved::bigint as saved_tokens, s.ends as ends_sha256
+    from sized s join upward using (p, d) left join node up on up.d = s.d - 1 and up.p = list_slice(s.p, 1, s.d - 1)""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 @query(
     "op13_hard_negatives",
     """
