@@ -24,6 +24,8 @@ from clanweave.llm.common import id_text
 from clanweave.session import materialize
 
 WIDTH, LETTERS, FEW, LONG, HEAVIEST = 3, 5, 12, 24, 63
+#: Bits of the leading blocks beyond those that tell all fingerprints apart.
+SPARE = 4
 _HALVES = (1 << 32) | 1
 
 
@@ -120,10 +122,10 @@ def edits(docs: DataFrame) -> DataFrame:
 
 
 def block_tables(distinct: int, bits: int = 64, radius: int = 3) -> list[int]:
-    """Masks of the leading blocks of each table, for a number of distinct fingerprints."""
+    """Masks of the leading blocks of each table. Of a number of distinct fingerprints fewer than one in 2^SPARE meets another by chance in a table."""
     for blocks in range(radius + 1, 2 * radius + 6):
         edges = [round(k * bits / blocks) for k in range(blocks + 1)]
-        if edges[blocks - radius] >= math.log2(max(2, distinct)):
+        if edges[blocks - radius] >= math.log2(max(2, distinct)) + SPARE:
             break
     own = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
     return [sum(kept) for kept in combinations(own, blocks - radius)]
