@@ -8,6 +8,9 @@ A variant is emitted in two steps, so that the shuffle does not carry thousands
 ``b`` bits choose the bucket and are shuffled with the fingerprint; the variants of the other bits are made inside the bucket, in
 parts of bounded size. All fingerprints that share a variant lie within 2r bits of each other, so linking each with the smallest
 gives the same components as linking all pairs.
+
+``keep_one`` takes near-duplicates by the share of common word shingles instead: fingerprints within four bits find about half of the pairs that share 0.8 of
+their five-word shingles, so least-hash keys propose further candidates and every link is verified on the whole texts.
 """
 
 from __future__ import annotations
@@ -18,10 +21,10 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clanweave.llm.common import fresh, id_text, map_arrow, octets
+from clanweave.llm.common import fresh, id_text, map_arrow, mix, octets
 from clanweave.operators.graph import connected_components
 from clanweave.session import materialize
 
@@ -190,34 +193,124 @@ def near_duplicates(docs: DataFrame, distance: int = 4, width: int = 4, seed: in
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the document with the smallest doc_id stays.
+#: Words of the shingles, share of common shingles and sketch of verified near-duplicates: ``BANDS`` keys of ``PER_BAND`` least hashes each. A pair at
+#: exactly 0.8 has a common key with 0.986, one at 0.9 with 0.99999; stages of near-duplicates are held to a recall of 0.9 by their tests.
+WORDS, SHARE, BANDS, PER_BAND = 5, 0.8, 14, 6
+#: Texts that are compared with one text by one task, on average.
+COMPARED = 1000
+
+
+def shingle_set(text: bytes, width: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of the ``width``-word shingles of the lower-cased text; fewer words: of the whole sequence; none: empty."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    shingles = map(b" ".join, zip(*(words[k:] for k in range(width)), strict=False)) if len(words) >= width else [b" ".join(words)]
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), np.uint64, max(1, len(words) - width + 1)))
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys of the bands of a set: hashes of its least elements in fixed orders (products with odd numbers)."""
+    if not len(hashes):
+        return np.zeros(BANDS, np.int64)
+    factors = mix(np.arange(BANDS * PER_BAND), 7) | np.uint64(1)
+    with np.errstate(over="ignore"):
+        parts = [(hashes[k : k + SHINGLES // 4] * factors[:, None]).min(axis=1) for k in range(0, len(hashes), SHINGLES // 4)]
+        least = np.minimum.reduce(parts).reshape(BANDS, PER_BAND)
+        out = np.arange(BANDS, dtype=np.uint64)
+        for k in range(PER_BAND):
+            out = mix(out ^ least[:, k], k)
+    return out.view(np.int64)
 
-    Of rows that repeat that doc_id the least one stays (in the order of the columns, which must be orderable). Rows without a doc_id
-    can't be named by a component and go wherever a row with an id is near; a component of such rows alone is kept whole.
+
+def text_key(text: str = "text") -> Column:
+    """128 bits of a digest, as a string, that name a text; null is empty."""
+    return F.substring(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"), 256), 1, 32)
+
+
+def similar(pairs: DataFrame, texts: DataFrame, share: float = SHARE) -> DataFrame:
+    """``pairs`` (node, lead) with ``near``: whether the texts share so much of their shingles (common ones of all).
+
+    ``texts`` has (node, text). A lead's text is sent once for every ``COMPARED`` of its nodes, a node's text once for each pair; one pair is held at a time.
     """
-    found = near_duplicates(docs, distance)
-    wanted = found.where("doc_id = component_id").select("doc_id").distinct()
-    key, row = fresh(docs, "_id"), fresh(docs, "_row")
-    wanted = wanted.select(F.col("doc_id").alias(key)).hint("shuffle_hash")
-    named = docs.join(wanted, F.col("doc_id") == F.col(key), "left_semi")
-    named = named.groupBy(F.col("doc_id").alias(key)).agg(F.min(F.struct(*docs.columns)).alias(row)).select(f"{row}.*")
-    alone = materialize(found.where("component_id is null").select("fingerprint").distinct(), "near-nameless")
-    if alone.isEmpty():
-        return named
-    print_ = fresh(docs, "_print")
-    nameless = with_fingerprint(docs.where("doc_id is null"), print_)
-    alone = alone.select(F.conv("fingerprint", 16, -10).cast("long").alias(print_))
-    return named.unionByName(nameless.join(alone, print_, "left_semi").drop(print_))
-
-
-def with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
-    """All columns of ``docs`` and the fingerprint as a long."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{name}` long"
+    groups = pairs.groupBy("lead").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / COMPARED)).cast("long").alias("parts"))
+    leads = groups.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).join(texts.withColumnRenamed("node", "lead"), "lead")
+    asked = pairs.join(groups, "lead").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).join(texts, "node")
+    rows = leads.select("lead", "part", F.lit(None).cast("string").alias("node"), "text").unionByName(asked.select("lead", "part", "node", "text"))
+    rows = rows.repartition("lead", "part").sortWithinPartitions("lead", "part", F.asc_nulls_first("node"))
 
     def run(batches) -> Iterator[dict]:
+        held = None
         for batch in batches:
-            prints = np.array([fingerprint(t) for t in octets(batch)], np.uint64)
-            yield {n: batch.column(k) for k, n in enumerate(batch.schema.names)} | {name: prints.view(np.int64)}
+            out = ([], [], [])
+            for lead, node, text in zip(batch.column("lead").to_pylist(), batch.column("node").to_pylist(), octets(batch), strict=True):
+                own = shingle_set(text)
+                if node is None:
+                    held = own
+                    continue
+                common = len(np.intersect1d(own, held, assume_unique=True))
+                every = len(own) + len(held) - common
+                for column, value in zip(out, (node, lead, common >= share * every - 1e-9), strict=True):
+                    column.append(value)
+            yield dict(zip(("node", "lead", "near"), out, strict=True))
+
+    return map_arrow(rows, "node string, lead string, near boolean", run)
+
+
+def near_classes(docs: DataFrame, distance: int = 4, share: float = SHARE) -> DataFrame:
+    """Classes of texts that are linked by steps of verified likeness: at least ``share`` of their five-word shingles in common.
+
+    Returns (node, class, least): ``node`` names a distinct text (``text_key``), ``class`` the class, ``least`` is the smallest doc_id with that text (null
+    if none has one). Candidates are texts whose fingerprints are linked within ``distance`` bits, and texts that share a key of a band: of those
+    that share one all are compared with the first of them; those unlike it share the next band's key too or are compared no more for it. So groups of any
+    size cost their size. A null text is empty; texts without words are one class.
+    """
+    rows = id_text(docs, text_key().alias("node"))
 
-    return map_arrow(docs, schema, run)
+    def run(batches) -> Iterator[dict]:
+        for batch in batches:
+            texts = octets(batch)
+            prints = np.array([fingerprint(t) for t in texts], np.uint64)
+            bands = [band_keys(shingle_set(t)) for t in texts]
+            yield {"doc_id": batch.column("doc_id"), "node": batch.column("node"), "fingerprint": prints.view(np.int64), "bands": bands}
+
+    sketched = materialize(map_arrow(rows, "doc_id long, node string, fingerprint long, bands array<long>", run), "sketches")
+    nodes = materialize(sketched.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("fingerprint").alias("fingerprint"), F.first("bands").alias("bands")), "texts")
+    texts = rows.groupBy("node").agg(F.first("text").alias("text"))
+    held = nodes.groupBy("fingerprint").agg(F.min("node").alias("lead"))
+    near = materialize(near_links(nodes, distance), "near-links")
+    across = near.join(held.select(F.col("fingerprint").alias("src"), F.col("lead").alias("node")), "src").join(held.withColumnRenamed("fingerprint", "dst"), "dst")
+    alike = nodes.join(held, "fingerprint").where("node <> lead").select("node", "lead").unionByName(across.select("node", "lead"))
+    links, after = [], alike
+    met = nodes.select("node", "bands", F.posexplode("bands").alias("band", "key"))
+    for step in range(BANDS + 1):
+        if step:  # all that is left of a bucket agrees on one more band
+            met = left.withColumn("key", F.xxhash64("key", F.get("bands", (F.col("band") + step) % BANDS)))  # noqa: F821
+        buckets = met.groupBy("band", "key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").select("band", "key", "lead")
+        stars = materialize(met.join(buckets, ["band", "key"]).where("node <> lead"), "stars")
+        pairs = stars.select("node", "lead")
+        if step == 0:
+            pairs = pairs.unionByName(after)
+        elif stars.isEmpty():
+            break
+        judged = materialize(similar(pairs.distinct(), texts, share), "judged")
+        links.append(judged.where("near").select(F.col("node").alias("src"), F.col("lead").alias("dst")))
+        left = materialize(stars.join(judged.where("not near").select("node", "lead"), ["node", "lead"], "left_semi").select("node", "bands", "band", "key"), "left")
+    found = functools.reduce(DataFrame.unionByName, links)
+    joined = connected_components(found, found, include_singletons=False).select("node", F.col("component").alias("class"))
+    return nodes.select("node", "least").join(joined, "node", "left").select("node", F.coalesce("class", "node").alias("class"), "least")
+
+
+def keep_one(docs: DataFrame, distance: int = 4, share: float = SHARE) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each class of ``near_classes`` the row with the smallest doc_id stays.
+
+    Rows are told apart by their texts: rows of one doc_id with unlike texts are in classes of their own and don't go for each other. Of rows of one class
+    that share the smallest doc_id the one with the least text key stays, of rows equal in both the least (in the order of the columns, which must be
+    orderable). A class of rows without a doc_id keeps one row alike. A null text is empty. All columns are returned, whatever their names.
+    """
+    classes = near_classes(docs, distance, share)
+    stays = classes.groupBy("class").agg(F.min(F.struct(F.col("least").isNull().alias("z"), "least", "node")).alias("s")).select("s.least", "s.node")
+    node, least, row = fresh(docs, "_node"), fresh(docs, "_least"), fresh(docs, "_row")
+    stays = materialize(stays.select(F.col("node").alias(node), F.col("least").alias(least)), "stays").hint("shuffle_hash")
+    named = docs.withColumn(node, text_key()).join(stays, node).where(F.col("doc_id").cast("long").eqNullSafe(F.col(least)))
+    return named.groupBy(node).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(row)).select(f"{row}.*")

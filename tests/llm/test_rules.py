@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clanweave.llm import pii, quality, secrets
-from tests.llm.test_dedup import prose, slow_components, slow_print
+from tests.llm.test_dedup import prose, slow_classes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -257,7 +257,7 @@ def slow_pipeline(documents, labels, benchmark, pieces_file):
                 holders.setdefault(key(line), set()).add(k)
     left = {k: "\n".join(x for x in t.split("\n") if len(holders.get(key(x), ())) < 5 or max(holders[key(x)]) == k) for k, t in left.items()}
     ids = list(left)
-    group = slow_components([slow_print(left[k]) for k in ids])
+    group, _ = slow_classes([left[k] for k in ids])
     least = {}
     for k, g in zip(ids, group, strict=True):
         least[g] = min(k, least.get(g, k))
@@ -286,7 +286,32 @@ def test_pipeline(spark, pieces_file):
     assert docs.where(F.col("text").isNull()).count() == 0
 
 
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_keep_columns(spark, stage):
+    """Null and repeated ids, null, empty and very long texts, and columns whose names operators use."""
+    r = random.Random(stage)
+    line = "This line is common to many documents, and has more than forty characters."
+    rows = [(k, f"{prose(r, 40)}\n{line}\n{prose(r, 20)}") for k in range(12)] + [(3, prose(r, 60)), (None, prose(r, 60)), (None, None), (20, None), (21, ""), (22, prose(r, 30000)), (22, prose(r, 50))]
+    rows.append(rows[4])
+    names = ("n_chars", "n_dropped", "_n_dropped", "n_lines", "verdict", "leaks", "node", "_node", "fingerprint", "class", "least", "bands")
+    df = spark.createDataFrame([(k, t, "en", "web") for k, t in rows], "doc_id long, text string, lang string, source string")
+    for n in names:
+        df = df.withColumn(n, F.lit(0).cast("long"))
+    out = corpus_pipeline.STAGES[stage][1](spark, df, "/root/testdata/sf0.001")
+    assert out.dtypes == df.dtypes
+    kept = out.collect()
+    known = {str(k) for k, _ in rows}
+    assert {str(x.doc_id) for x in kept} <= known and len(kept) <= len(rows)
+    if stage == 1:
+        assert len(kept) == len(rows) and all(x.n_chars == (len(x.text) if line not in x.text else 0) for x in kept if x.doc_id in range(12) and x.doc_id not in (3, 4))
+    if stage == 2:
+        assert len(kept) == len({t or "" for _, t in rows})
+    if stage == 3:
+        assert len(kept) == len(rows)
+    assert corpus_pipeline.STAGES[stage][1](spark, df.limit(0), "/root/testdata/sf0.001").count() == 0
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
-    assert {int(re.match(r"op(\d+)_", q)[1]) for q in entry.queries() if re.match(r"op\d+_", q)} == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert {int(re.match(r"op(\d+)_", q)[1]) for q in entry.queries() if re.match(r"op\d+_", q)} == set(range(1, 14)) and "pipeline" in entry.queries()
