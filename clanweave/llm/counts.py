@@ -1,12 +1,14 @@
 """Token counts by rank-synchronous array merging.
 
 The distinct pre-tokens of many texts are held as one flat array of symbols with an array of sequence starts. In every round
-each sequence applies its pair of lowest rank (its leftmost occurrence), all sequences at once; sequences
-without a mergeable pair leave the arrays. What is counted is the symbols that survive.
+each sequence applies its pair of lowest rank (all its occurrences, from the left), all sequences at once; sequences
+without a mergeable pair leave the arrays. What is counted is the symbols that survive. A round costs all that is left, so sequences of more than
+``LONGEST`` symbols, which could take as many rounds, are merged one by one with a heap of their pairs.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import os
 import re
@@ -19,6 +21,8 @@ from clanweave.llm.common import Memo, held_by_worker, id_text, longs, map_arrow
 
 #: Distinct words whose count a Python worker remembers.
 MEMO = 400_000
+#: Symbols of a sequence that is merged in rounds.
+LONGEST = 512
 _NONE = np.int64(1 << 40)
 
 
@@ -34,11 +38,44 @@ class Merges:
         key = left * self.size + right
         order = np.argsort(key, kind="stable")
         self.key, self.rank, self.made = key[order], order.astype(np.int64), made[order]
+        self.pairs: dict[int, tuple[int, int]] = {}
+
+    def merged(self, symbols: list[int]) -> int:
+        """Number of symbols left of one long sequence: a linked list and a heap of (rank, place) of its pairs."""
+        if not self.pairs:
+            self.pairs.update(zip(self.key.tolist(), zip(self.rank.tolist(), self.made.tolist(), strict=True), strict=True))
+        size, pairs, n = int(self.size), self.pairs, len(symbols)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(found[0], i) for i in range(n - 1) if (found := pairs.get(symbols[i] * size + symbols[i + 1]))]
+        heapq.heapify(heap)
+        left = n
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i]
+            found = pairs.get(symbols[i] * size + symbols[j]) if symbols[i] >= 0 and j < n else None
+            if not found or found[0] != rank:
+                continue  # one of the two has been merged since
+            symbols[i], symbols[j] = found[1], -1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                if (new := pairs.get(symbols[i] * size + symbols[after[i]])):
+                    heapq.heappush(heap, (new[0], i))
+            if before[i] >= 0 and (new := pairs.get(symbols[before[i]] * size + symbols[i])):
+                heapq.heappush(heap, (new[0], before[i]))
+            left -= 1
+        return left
 
     def surviving(self, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Number of symbols left of each sequence."""
         left = lengths.copy()
         sym, own = symbols.astype(np.int64), np.repeat(np.arange(len(lengths)), lengths)
+        long = np.flatnonzero(lengths > LONGEST)
+        if len(long):
+            starts = np.cumsum(lengths) - lengths
+            left[long] = [self.merged(sym[starts[k] : starts[k] + lengths[k]].tolist()) for k in long]
+            short = np.repeat(lengths <= LONGEST, lengths)
+            sym, own = sym[short], own[short]
         while len(sym) > 1:
             key = sym[:-1] * self.size + sym[1:]
             spot = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
@@ -48,11 +85,13 @@ class Merges:
             sizes = np.diff(np.r_[starts, len(own)])
             active = lowest < _NONE
             hit = np.flatnonzero(np.r_[rank, _NONE] == np.repeat(np.where(active, lowest, -1), sizes))
-            hit = hit[np.r_[True, own[hit][1:] != own[hit][:-1]]] if len(hit) else hit
             if not len(hit):
                 break
+            # Of occurrences that overlap (of a pair of equal symbols) every other one is taken.
+            run = np.flatnonzero(np.r_[True, hit[1:] != hit[:-1] + 1])
+            hit = hit[(np.arange(len(hit)) - np.repeat(run, np.diff(np.r_[run, len(hit)]))) % 2 == 0]
             sym[hit] = self.made[spot[hit]]
-            left[own[hit]] -= 1
+            left -= np.bincount(own[hit], minlength=len(left))
             keep = np.repeat(active, sizes)
             keep[hit + 1] = False
             sym, own = sym[keep], own[keep]
@@ -70,6 +109,10 @@ class Counter:
         if model["type"] != "BPE" or model.get("continuing_subword_prefix") or model.get("ignore_merges") or model.get("dropout"):
             raise ValueError("a plain merge model is needed")
         self.vocab, self.suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        if not {c + end for c in ByteLevel.alphabet() for end in ("", self.suffix)} <= self.vocab.keys():
+            raise ValueError("a model of bytes, each with a token of its own, is needed")
         self.merges = Merges(self.vocab, model["merges"])
         added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None

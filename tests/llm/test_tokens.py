@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -92,6 +93,19 @@ def test_one_id_over_many_shards(docs, words_file):
     assert store.fetch(store.keys).count() == 401
 
 
+def test_long_words(words_file):
+    """Runs of one letter, random letters and unspaced scripts, around and far above the length that is merged in rounds."""
+    r = random.Random(6)
+    lib = Tokenizer.from_file(words_file)
+    counter = counts.Counter(words_file)
+    texts = [c * n for c in "a0é漢" for n in (1, 2, 3, 7, 511, 512, 513, 2000)]
+    texts += ["".join(r.choices(letters, k=n)) for letters in ("abcdefghijklmnopqrstuvwxyz", "ab", "éàç", "漢字仮名交") for n in (30, 500, 520, 5000)]
+    start = time.monotonic()
+    texts.append("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=200_000)))
+    assert counter.count([t.encode() for t in texts]) == [len(lib.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert time.monotonic() - start < 60
+
+
 def test_empty(docs, words_file, pieces_file):
     none = docs([])
     assert id_store.store_digests(none, words_file).count() == 0
