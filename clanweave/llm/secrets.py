@@ -38,7 +38,7 @@ ALLOW = (r"^(.)\1*$", rf"^(?i:(?!.*(?:{_UNCOMMON}){{5}})[a-z+/_-]+={{0,2}})$", r
 #: Sums of c log2 c are held as whole numbers of this unit, so that they do not depend on the order of steps.
 UNIT = 1 << 30
 #: A non-character sets matches off (one that a text holds is read as the replacement character); lengths are summed by blocks.
-MARK, STAND_IN, BLOCK = "\ufdd0", "\ufffd", 128
+MARK, STAND_IN, BLOCK, PIECE = "\ufdd0", "\ufffd", 128, 108
 
 
 def parts_of(text: Column, pattern: str) -> Column:
@@ -67,7 +67,20 @@ def with_matches(df: DataFrame, text: str, name: str, pattern: str) -> DataFrame
 
 
 def entropy_sum(found: Column) -> Column:
-    """The least sum of c log2 c, in units, over all windows of ``WINDOW`` characters of ``found``."""
+    """The least sum of c log2 c, in units, over all windows of ``WINDOW`` characters of ``found``.
+
+    Characters are looked up by their place, which walks through a string; so ``found`` is cut into pieces of ``PIECE`` characters first, each
+    followed by the beginning of the next, and the cost is that of its length.
+    """
+    pieces = F.regexp_extract_all(found, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    pieces = F.transform(pieces, lambda x, k: F.struct(x.alias("x"), k.alias("k")))
+    least = F.get(F.transform(F.array(pieces), lambda p: F.transform(p, lambda y: F.concat(y["x"], F.coalesce(F.substring(F.get(p["x"], y["k"] + 1), 1, WINDOW - 1), F.lit(""))))), 0)
+    # The last piece may be shorter than a window, all of which is in the piece before.
+    least = F.filter(least, lambda x: F.length(x) >= WINDOW)
+    return F.array_min(F.transform(least, _piece_sum))
+
+
+def _piece_sum(found: Column) -> Column:
     table = F.array(*[F.lit(round(c * math.log2(c) * UNIT) if c else 0).cast("long") for c in range(WINDOW + 2)])
     weight = lambda c: F.element_at(table, c + 1)
     times = lambda s, c: F.length(s) - F.length(F.replace(s, c, F.lit("")))
@@ -108,8 +121,15 @@ def scan(docs: DataFrame, window_bits: dict[str, float] | None = None, allow: tu
     df = with_matches(df, "text", "m_candidate", CANDIDATE).drop("text")
     df = df.withColumn("base", F.sort_array(F.concat(*kinds))).drop(*[f"m_{k}" for k, *_ in BASE])
 
+    # Base spans by blocks: only blocks that begin before a candidate and reach its end are looked through.
+    numbers = F.when(F.size("base") > 0, F.sequence(F.lit(0), F.floor((F.size("base") - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+    df = df.withColumn("blocks", F.transform(numbers, lambda k: F.slice("base", k * BLOCK + 1, F.lit(BLOCK))))
+    reach = F.transform("blocks", lambda x: F.struct(F.get(x["start"], 0).alias("start"), F.array_max(x["end"]).alias("end"), x.alias("spans")))
+    df = df.withColumn("blocks", reach)
+
     def is_open(x: Column) -> Column:
-        inside = F.exists("base", lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"]))
+        covers = lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"])
+        inside = F.exists("blocks", lambda b: F.when(covers(b), F.exists(b["spans"], covers)).otherwise(False))
         allowed = F.lit(False)
         for pattern in allow:
             allowed = allowed | x["found"].rlike(pattern)
