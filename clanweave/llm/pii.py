@@ -14,6 +14,7 @@ from ``SUPPORT`` different pairs of context and entity on, and if a term stands
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ from clanweave.session import materialize
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of an entity, contexts from which on a share isn't smoothed, what smoothing adds, bits of the two thresholds.
 REACH, SUPPORT, PRIOR, REMOVE_BITS, GENERAL_BITS = 8, 3, 2.0, 0.15, 1.0
+#: Terms on either side of an entity that are near it, at most.
+CLOSEST = 24
 #: The class of all entities.
 ANY = "any"
 #: Bits of the broadcast filter of terms worth counting; it bounds the broadcast, not the terms.
@@ -40,6 +43,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGITS = bytes(b for b in range(256) if not 48 <= b <= 57)
 _TERM = re.compile(r"[^\W\d_]{3,}")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _TERM_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -85,20 +89,36 @@ def base_spans(raw: bytes) -> list[tuple[int, int, int]]:
 def contexts(raw: bytes, spans: list[tuple[int, int, int]], reach: int) -> list[tuple[str, str, int, int, int, int]]:
     """(entity, term, start, end, context, first) of the terms near each span; the context is a hash of all terms near it.
 
-    ``first`` has bit 1 where the text has this occurrence of the term beside this entity for the first time, bit 2 beside one of the kind,
-    bit 4 beside any, so that no occurrence counts twice.
+    Near are the terms within ``reach`` words on either side, in words without spaces the ``CLOSEST`` ones of a side. ``first`` has bit 1 where the text has
+    this occurrence of the term beside this entity for the first time, bit 2 beside one of the kind, bit 4 beside any, so that no occurrence counts
+    twice. Words, terms and spans are found once and looked up by bisection, so that a text of many entities costs their number.
     """
     text, out, seen = raw.decode(), [], set()
+    starts, ends = zip(*(m.span() for m in _WORD.finditer(text)), strict=True)
+    covered = []  # the union of the spans
+    for a, _, b in spans:
+        if covered and a <= covered[-1][1]:
+            covered[-1][1] = max(b, covered[-1][1])
+        else:
+            covered.append([a, b])
+    openings = [a for a, _ in covered]
+
+    def is_open(m: re.Match) -> bool:
+        k = bisect_left(openings, m.end())
+        return k == 0 or covered[k - 1][1] <= m.start()
+
+    terms = [m for m in _TERM.finditer(text) if is_open(m)]
+    places = [m.start() for m in terms]
     for start, kind, end in spans:
-        left, right = start, end
-        for _ in range(reach):
-            left = _word_start(text, left)
-            right = _word_end(text, right)
-        near = [m for m in _TERM.finditer(text, left, right) if not any(a < m.end() and m.start() < b for a, _, b in spans)]
-        terms = [fold(m[0]) for m in near]
-        own = xxhash.xxh64_intdigest(" ".join(terms).encode()) >> 1
+        left, right = bisect_left(starts, start), bisect_right(ends, end)
+        low = bisect_left(places, starts[max(0, left - reach)])
+        high = bisect_left(places, ends[min(len(ends), right + reach) - 1])
+        at = bisect_left(places, start)  # open terms lie before or behind the entity
+        near = terms[max(low, at - CLOSEST) : min(high, at + CLOSEST)]
+        words = [fold(m[0]) for m in near]
+        own = xxhash.xxh64_intdigest(" ".join(words).encode()) >> 1
         entity = f"{KINDS[kind]}:{fold(text[start:end])}"
-        for term, m in zip(terms, near, strict=True):
+        for term, m in zip(words, near, strict=True):
             first = 0
             for bit, group in ((1, entity), (2, KINDS[kind]), (4, ANY)):
                 first |= bit * ((group, m.start()) not in seen)
@@ -119,26 +139,6 @@ def fold(term: str) -> str:
     return term.encode().lower().decode()
 
 
-_BLANK = " \t\n\x0b\x0c\r"
-
-
-def _word_start(text: str, at: int) -> int:
-    while at > 0 and text[at - 1] in _BLANK:
-        at -= 1
-    while at > 0 and text[at - 1] not in _BLANK:
-        at -= 1
-    return at
-
-
-def _word_end(text: str, at: int) -> int:
-    n = len(text)
-    while at < n and text[at] in _BLANK:
-        at += 1
-    while at < n and text[at] not in _BLANK:
-        at += 1
-    return at
-
-
 def find(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """Per row: doc_id, text_key (hash of the text), base (spans) and near (terms in reach of an entity)."""
     kind = "doc_id long, text_key long, base array<struct<start:long,kind:int,end:long>>, near array<struct<entity:string,term:string,start:long,end:long,context:long,first:int>>"

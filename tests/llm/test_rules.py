@@ -1,9 +1,11 @@
 """op2, op3, op7 and the pipeline against brute force on small tables."""
 
+import collections
 import hashlib
 import math
 import random
 import re
+import time
 
 import pytest
 import sentencepiece
@@ -185,6 +187,72 @@ def test_private(docs):
     assert got == sorted(want)
 
 
+def slow_contexts(text, spans, reach):
+    """Words are walked from each entity; terms that touch a span are none."""
+    out, seen, blank = [], set(), " \t\n\x0b\x0c\r"
+    for start, kind, end in spans:
+        left, right = start, end
+        for _ in range(reach):
+            while left > 0 and text[left - 1] in blank:
+                left -= 1
+            while left > 0 and text[left - 1] not in blank:
+                left -= 1
+            while right < len(text) and text[right] in blank:
+                right += 1
+            while right < len(text) and text[right] not in blank:
+                right += 1
+        near = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W\d_]{3,}", text) if left <= m.start() and m.end() <= right and not any(a < m.end() and m.start() < b for a, _, b in spans)]
+        near = [x for x in near if x[0] < start][-pii.CLOSEST :] + [x for x in near if x[0] > start][: pii.CLOSEST]
+        entity = f"{pii.KINDS[kind]}:{text[start:end].lower()}"
+        for a, b, term in near:
+            first = sum(bit * ((group, a) not in seen) for bit, group in ((1, entity), (2, pii.KINDS[kind]), (4, pii.ANY)))
+            seen |= {(entity, a), (pii.KINDS[kind], a), (pii.ANY, a)}
+            out.append((entity, term, a, b, first))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_contexts(seed):
+    r = random.Random(seed)
+    parts = ["alpha", "Beta", "x", " ", "  ", "\n", ", ", "a.b@c.de", "10.2.3.4", "+49 30 1234567", "4111 1111 1111 1111", "(", ")", "gamma-delta", "é", "one two three "]
+    for _ in range(300):
+        text = "".join(r.choice(parts) for _ in range(r.randint(1, 60)))
+        spans = pii.base_spans(text.encode())
+        if spans:
+            assert [x[:4] + x[5:] for x in pii.contexts(text.encode(), spans, 3)] == slow_contexts(text, spans, 3)
+
+
+def test_texts_of_many_entities(docs):
+    """50,000 addresses in lines, and as one word; the time is that of their number."""
+    lines = "\n".join(f"visit from 10.{k // 60000}.{k // 250 % 240}.{k % 250} accepted" for k in range(50_000))
+    word = ",from,".join(f"user{k}@mail.example.com" for k in range(20_000))
+    start = time.monotonic()
+    for text, n in ((lines, 50_000), (word, 20_000)):
+        spans = pii.base_spans(text.encode())
+        assert len(spans) == n and len(pii.contexts(text.encode(), spans, pii.REACH)) > n
+    assert time.monotonic() - start < 60
+
+
+def test_long_candidates(docs):
+    """Candidates of any length, found by their most mixed window wherever it is, in time that grows with their length."""
+    r = random.Random(4)
+    key = "".join(r.sample("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20))
+    rows, want = [], {}
+    for k in range(60):
+        n, at = r.randint(0, 420), r.randint(0, 420)
+        text = ("ab12" * 120)[:n] if k % 3 else ("ab12" * 120)[:at] + key + ("ab12" * 120)[:n]
+        rows.append((k, f"{text} word"))
+        want[k] = any(20 * math.log2(20) - sum(c * math.log2(c) for c in collections.Counter(text[i : i + 20]).values()) >= 3.5 * 20 - 1e-6 for i in range(len(text) - 19))
+    got = {x.doc_id: "entropy" in x.spans for x in secrets.digests(docs(rows)).collect()}
+    assert got == want and 10 < sum(want.values()) < 50
+    long = "".join(r.choice("abcdefghijklmnopqrstuvwyzABCDEFGHIJKLMNOPQRSTUVWYZ0123456789+/") for _ in range(1_000_000))  # (four x would be a placeholder)
+    many = "\n".join(f"token={r.randrange(10**12)} {''.join(r.choices('abcdefghijklmnop0123456789XYZ', k=24))}" for _ in range(5000))
+    start = time.monotonic()
+    found = {x.doc_id: x for x in secrets.digests(docs([(1, long), (2, many)])).collect()}
+    assert found[1].spans == "entropy:0:1000000" and found[2].n_assign == 5000
+    assert time.monotonic() - start < 120
+
+
 def test_revealing_terms(docs):
     """'wendelin' stands only beside one address, 'kontakt' half of the time, 'the' everywhere."""
     r = random.Random(8)
