@@ -276,7 +276,6 @@ def near_classes(docs: DataFrame, distance: int = 4, share: float = SHARE) -> Da
 
     sketched = materialize(map_arrow(rows, "doc_id long, node string, fingerprint long, bands array<long>", run), "sketches")
     nodes = materialize(sketched.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("fingerprint").alias("fingerprint"), F.first("bands").alias("bands")), "texts")
-    texts = rows.groupBy("node").agg(F.first("text").alias("text"))
     held = nodes.groupBy("fingerprint").agg(F.min("node").alias("lead"))
     near = materialize(near_links(nodes, distance), "near-links")
     across = near.join(held.select(F.col("fingerprint").alias("src"), F.col("lead").alias("node")), "src").join(held.withColumnRenamed("fingerprint", "dst"), "dst")
@@ -291,6 +290,9 @@ def near_classes(docs: DataFrame, distance: int = 4, share: float = SHARE) -> Da
         pairs = stars.select("node", "lead")
         if step == 0:
             pairs = pairs.unionByName(after)
+            # Later rounds compare some of the same texts: those of candidates are stored once, and no round moves the others.
+            wanted = materialize(pairs.select(F.explode(F.array("node", "lead")).alias("node")).distinct(), "wanted")
+            texts = materialize(rows.select("node", "text").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "candidates")
         elif stars.isEmpty():
             break
         judged = materialize(similar(pairs.distinct(), texts, share), "judged")
