@@ -182,3 +182,20 @@ def score_quartiles(edges: DataFrame, value: str = "alen") -> DataFrame:
 def node_degree(edges: DataFrame) -> DataFrame:
     ends = edges.select(F.explode(F.array("src", "dst")).alias("node"))
     return ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+
+
+def neighborhood_connectivity(edges: DataFrame) -> DataFrame:
+    """``(node, degree, connectivity)``: mean degree of a node's neighbours, cut to hundredths.
+
+    Every row of ``edges`` counts, repeated ones as often as they are there; a self edge is two ends of its node. Degrees are summed map-side
+    and sent along the edges once per end; a hub is one row of the degrees, so the long side of that join may be split, and what its
+    neighbours send back is summed map-side again. Edges with a missing end take no part.
+    """
+    known = edges.where("src is not null and dst is not null")
+    ends = F.explode(F.array(F.struct(F.col("src").alias("node"), F.col("dst").alias("other")), F.struct(F.col("dst").alias("node"), F.col("src").alias("other"))))
+    # repeated pairs become one row with a count before anything is joined
+    around = known.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")).select(ends.alias("e"), "n").select("e.node", "e.other", "n")
+    degree = around.groupBy("node").agg(F.sum("n").alias("degree"))
+    sent = around.join(degree.select(F.col("node").alias("other"), F.col("degree").alias("_d")), "other")
+    total = sent.groupBy("node").agg(F.sum(F.col("n") * F.col("_d")).alias("_t"), F.sum("n").alias("degree"))
+    return total.select("node", "degree", (F.expr("_t * 100 div degree") / 100.0).alias("connectivity"))

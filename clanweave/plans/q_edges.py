@@ -117,6 +117,21 @@ def _(v):
     return E.node_degree(v.edges)
 
 
+CONNECTIVITY = """with ends as (select src as node, dst as other from {0} union all select dst, src from {0}), degree as (select node, count(*) as degree from ends group by 1)
+    select e.node, count(*) as degree, (sum(d.degree)::bigint * 100 // count(*)) / 100.0::double as connectivity from ends e join degree d on d.node = e.other group by 1"""
+
+
+@query("gr15_neighborhood_connectivity", CONNECTIVITY.format("edges"))
+def _(v):
+    return E.neighborhood_connectivity(v.edges)
+
+
+@query("gr15_neighborhood_connectivity_raw", CONNECTIVITY.format("canon"))
+def _(v):
+    """Over the rows of the search as they came, with repeated pairs and self hits."""
+    return E.neighborhood_connectivity(v.hits)
+
+
 @query("ag22_member_lists", "select distinct rep, member, count(*) over (partition by rep) as n from members")
 def _(v):
     return G.member_lists(v.members)

@@ -45,6 +45,19 @@ def test_convergence(spark):
     assert E.convergence_ratio(none, s(4)).first()["ratio"] == 0.0
 
 
+def test_neighborhood_connectivity(spark, rows):
+    rng = random.Random(4)
+    pairs = [(rng.choice("ABCDEFGH"), rng.choice("ABCDEFGHIJK")) for _ in range(40)] + [("A", "A"), ("Z", "A"), ("Z", "A")]
+    around = {}
+    for a, b in pairs:
+        around.setdefault(a, []).append(b)
+        around.setdefault(b, []).append(a)
+    want = [(n, len(o), sum(len(around[x]) for x in o) * 100 // len(o) / 100) for n, o in sorted(around.items())]
+    e = spark.createDataFrame(pairs + [(None, "A"), ("B", None)], "src string, dst string")
+    assert rows(E.neighborhood_connectivity(e)) == want
+    assert E.neighborhood_connectivity(e.limit(0)).count() == 0
+
+
 def union_find(nodes, edges):
     parent = {n: n for n in nodes}
 
