@@ -169,11 +169,15 @@ def marker_weights(markers: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def cluster_markers(markers: DataFrame, identity: float = 0.90) -> DataFrame:
-    """``(rep, marker)`` of near-identical marker sequences, over the whole marker length."""
-    from clanweave.operators.similarity import representatives
+    """``(rep, marker)`` of near-identical marker sequences of equal length, over the whole length; the smallest ID of those that stand first is ``rep``.
+
+    Close markers are found by their segments (``segment_links``), so none is missed.
+    """
+    from clanweave.operators.similarity import representatives, segment_links
 
     seqs = markers.select(F.col("marker").alias("id"), "seq")
-    return representatives(seqs, identity, 1.0).select("rep", F.col("member").alias("marker"))
+    links = segment_links(seqs, identity) if identity < 1.0 else None
+    return representatives(seqs, identity, 1.0, links).select("rep", F.col("member").alias("marker"))
 
 
 def remap_families(families: DataFrame, clusters: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from clanweave.operators import abundance as B
 from clanweave.operators import markers as M
 from clanweave.plans.catalog import query
+from clanweave.plans.q_similarity import GREEDY, levels
 
 READS = """reads as (select sample, count(distinct read_id) as reads from marker_hits group by 1)"""
 VALID = f"""{READS}, valid as (select h.*, m.family, m.type, m.marker_len from marker_hits h join markers m on m.marker = h.marker
@@ -300,6 +301,18 @@ def _(v):
     return M.cluster_markers(mk, identity=1.0)
 
 
+@query(
+    "mk07_cluster_markers_near",
+    f"""with recursive {ISLANDS}, mk as (select t.family, t.family || '_' || t.start as marker, substr(seq, t.start, t.len) as seq from tm t join consensus using (family)),
+    one as materialized (select min(marker) as id, seq, length(seq) as len from mk group by seq), {levels([(90, 1.0)])},
+    gr_pairs as materialized (select 90.0::double as identity, a.id as hi, b.id as lo, a.len as hi_len, b.len as lo_len from one a join one b on a.len = b.len and a.id < b.id where (a.len - hamming(a.seq, b.seq)) * 100.0::double / a.len >= 90),
+    {GREEDY} select coalesce(t.top, o.id) as rep, marker from mk join one o on o.seq = mk.seq left join gr_top t on t.id = o.id""",
+)
+def _(v):
+    tm = M.true_markers(overlap(v), v.consensus, min_len=4, max_total=60)
+    return M.cluster_markers(tm.select(F.concat_ws("_", "family", "start").alias("marker"), "seq"), identity=0.90)
+
+
 @query(
     "mk08_validate_marker_ids",
     r"""select id, string_agg(reason, ',' order by reason) as reason from (select id, 'bad character' as reason from (select distinct p_brand || case when p_size % 2 = 0 then ':x' else '' end || p_partkey % 300 as id from part)

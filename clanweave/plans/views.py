@@ -427,7 +427,11 @@ def with_views(body: str) -> str:
         f"{v} as {'materialized ' if v in MATERIALIZED else ''}({text})" for v, text in SQL_VIEWS.items() if v in used
     ]
     body = body.strip()
-    head = "with recursive " if any("reach" in v for v in used) else "with "
+    if body.lower().startswith("with recursive "):
+        body, recursive = "with " + body[15:], True
+    else:
+        recursive = any("reach" in v for v in used)
+    head = "with recursive " if recursive else "with "
     glue = ",\n" if body.lower().startswith("with ") else "\n"
     if body.lower().startswith("with "):
         body = body[5:]

@@ -177,6 +177,55 @@ def test_representatives_equal_sequential_greedy(spark, seed):
     assert got == want
 
 
+def test_thresholds_share_rounds_and_equal_single_ones(spark):
+    rng = random.Random(11)
+    lens = {f"s{i:02d}": rng.randrange(20, 40) for i in range(40)}
+    seqs = {i: "".join(rng.choice("ACDE") for _ in range(n)) for i, n in lens.items()}
+    pairs = {tuple(sorted(rng.sample(sorted(lens), 2))): rng.choice([40.0, 55.0, 70.0, 95.0]) for _ in range(80)}
+    e = spark.createDataFrame([(a, b, p, min(lens[a], lens[b]), lens[a], lens[b]) for (a, b), p in pairs.items()], "src string, dst string, pid double, alen int, src_len int, dst_len int")
+    s = spark.createDataFrame(list(seqs.items()) + [("zz", seqs["s07"])], "id string, seq string")
+    got = {}
+    for r in Y.representatives_at(s, [(p, 1.0 if p == 100 else 0.0) for p in range(40, 101, 5)], e).collect():
+        got.setdefault(r["identity"], {})[r["member"]] = r["rep"]
+    assert sorted(got) == [float(p) for p in range(40, 101, 5)]
+    for p, owners in got.items():
+        want = greedy(lens, {pair for pair, pid in pairs.items() if pid >= p})
+        want["zz"] = want["s07"]
+        assert owners == want
+    assert Y.representatives_at(s.limit(0), [(50, 0.0), (90, 0.0)], e.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("cell", [3, 1024])
+def test_segment_links_equal_all_pairs(spark, monkeypatch, cell):
+    """Copies, ties, short, empty and null sequences; a segment that many hold is split into cells."""
+    monkeypatch.setattr(Y, "CELL", cell)
+    rng = random.Random(5)
+
+    def change(seq, n):
+        at = rng.sample(range(len(seq)), min(n, len(seq)))
+        return "".join(rng.choice("ACDEéX") if i in at else c for i, c in enumerate(seq))
+
+    roots = ["".join(rng.choice("ACDE") for _ in range(n)) for n in (1, 4, 9, 10, 11, 20, 33, 33, 60)]
+    seqs = [(f"m{i:03d}", change(rng.choice(roots), rng.randrange(7))) for i in range(150)] + [("n", None), ("o", ""), ("p", "")]
+    df = spark.createDataFrame(seqs, "id string, seq string").repartition(3)
+    unique = {seq: min(n for n, other in seqs if other == seq) for _, seq in seqs if seq}
+    lens = {name: len(seq) for seq, name in unique.items()}
+    for identity in (0.9, 0.8, 0.5):
+        want = {}
+        for x, a in unique.items():
+            for y, b in unique.items():
+                same = sum(c == d for c, d in zip(x, y))
+                if a < b and len(x) == len(y) and same * 100.0 / len(x) >= identity * 100:
+                    want[a, b] = same
+        links = Y.segment_links(df, identity)
+        assert {(r["src"], r["dst"]): r["matches"] for r in links.collect()} == want and len(want) > 20
+    markers = df.where("seq <> ''").withColumnRenamed("id", "marker")
+    near = {pair for pair, same in want.items() if same * 100.0 / lens[pair[0]] >= 90.0}
+    owner = greedy(lens, near)
+    got = {r["marker"]: r["rep"] for r in M.cluster_markers(markers, 0.9).collect()}
+    assert got == {n: owner[unique[seq]] for n, seq in seqs if seq}
+
+
 def test_search_links_copies(spark):
     rng = random.Random(2)
     base = "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(200))
