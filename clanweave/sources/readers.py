@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clanweave import schemas
 from clanweave.functions import scalar as S
 from clanweave.functions.ordered import ordered_scan
+from clanweave.sources.archives import archive_lines, archive_of, member_of
 from clanweave.sources.ordered import ORDER, records, under_heads
 
 LARGE_READ = 50_000
@@ -75,8 +76,20 @@ def sequence_id(ordinal: str):
 def read_metagenome_reads(spark: SparkSession, path: str, skip_long: bool = False) -> DataFrame:
     """``(sample, read_id, seq, len)`` of FASTA or FASTQ files (plain, gz, bz2), by file name."""
     lines = records(spark, path)
-    kind = F.when(F.lower("_file").rlike(r"\.(fastq|fq)([./]|$)"), "fastq").otherwise("fasta")
-    sample = F.regexp_extract("_file", r"([^/.]+)\.[^/]*$", 1)
+    return _reads(lines, F.col("_file"), F.regexp_extract("_file", r"([^/.]+)\.[^/]*$", 1), skip_long)
+
+
+def read_archived_reads(spark: SparkSession, path: str | DataFrame, skip_long: bool = False) -> DataFrame:
+    """``(sample, read_id, seq, len)`` of the FASTA or FASTQ members of tar archives (plain, gz, bz2, xz); see ``archive_lines``.
+
+    An archive holds the files of one sample and names it; a member's name tells its format.
+    """
+    lines = archive_lines(spark, path)
+    return _reads(lines, member_of(), F.regexp_extract(archive_of(), r"([^/.]+)[^/]*$", 1), skip_long)
+
+
+def _reads(lines: DataFrame, name: Column, sample: Column, skip_long: bool) -> DataFrame:
+    kind = F.when(F.lower(name).rlike(r"\.(fastq|fq)([./]|$)"), "fastq").otherwise("fasta")
     lines = lines.withColumn("_kind", kind)
     q = ordered_scan(lines.where("_kind = 'fastq'"), ["_file"], ORDER[1:], rank="_r")
     q = q.withColumn("_rec", F.expr("(_r - 1) div 4")).withColumn("_k", (F.col("_r") - 1) % 4)
