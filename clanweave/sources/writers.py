@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from clanweave import schemas
 from clanweave.functions import scalar as S
+from clanweave.functions.ordered import rank_all
+from clanweave.session import materialize
 
 CONTROL = r"[\x00-\x08\x0B-\x0C\x0E-\x1F]"
 
@@ -150,23 +152,32 @@ def short_number(c: Column) -> Column:
     return F.regexp_replace(g, r"\.(e|$)", "$1")
 
 
-def matrix_lines(df: DataFrame, samples: list[str]) -> DataFrame:
-    """``(n, tail, protein, line)`` rows of a feature × sample table of ``df(sample, cluster, protein, value)``, missing 0.
+def matrix_lines(df: DataFrame) -> DataFrame:
+    """``(n, tail, protein, line)`` rows of a feature × sample table of ``df(sample, cluster, protein, value)``, missing 0; the first one names the samples.
 
-    Sort by (n, tail, protein): numeric clusters by number, ``#N/A`` as 0, others (``S…``) after them as text.
+    Sort by (n, tail, protein): numeric clusters by number, ``#N/A`` as 0, others (``S…``) after them as text. Samples are numbered rows, not columns
+    of the plan; the cells of a feature are put together in sample order with zeros between them, so a task holds one line at a time.
     """
-    cells = [F.coalesce(F.sum(F.when(F.col("sample") == s, F.col("value"))), F.lit(0.0)).alias(f"c{i}") for i, s in enumerate(samples)]
-    wide = df.groupBy("cluster", "protein").agg(*cells)
+    summed = df.groupBy("cluster", "protein", "sample").agg(F.sum("value").alias("value"))
+    names = materialize(rank_all(df.select("sample").where("sample is not null").distinct(), ["sample"], "at"), "samples")
+    width = names.count()
+    placed = summed.join(names, "sample", "left")
+    held = placed.groupBy("cluster", "protein").agg(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", F.coalesce("value", F.lit(0.0)).alias("value"))))).alias("cells"))
+    zeros = lambda n: F.repeat(F.lit("\t0"), n.cast("int"))
+    before = lambda i: F.when(i > 0, F.col("cells")[F.greatest(i - 1, F.lit(0))]["at"]).otherwise(0)
+    cells = F.transform("cells", lambda x, i: F.concat(zeros(x["at"] - before(i) - 1), F.lit("\t"), short_number(x["value"])))
+    last = F.when(F.size("cells") > 0, F.element_at("cells", -1)["at"]).otherwise(0)
+    text = F.concat(F.concat_ws("|", "cluster", "protein"), F.array_join(cells, ""), zeros(F.lit(width) - last))
     number = F.when(F.col("cluster") == "#N/A", F.lit(0)).otherwise(F.col("cluster").try_cast("long"))
-    text = F.concat_ws("\t", F.concat_ws("|", "cluster", "protein"), *[short_number(F.col(f"c{i}")) for i in range(len(samples))])
-    return wide.select(F.coalesce(number, F.lit(2**62)).alias("n"), F.when(number.isNull(), F.col("cluster")).otherwise("").alias("tail"), F.coalesce("protein", F.lit("")).alias("protein"), text.alias("line"))
+    body = held.select(F.coalesce(number, F.lit(2**62)).alias("n"), F.when(number.isNull(), F.col("cluster")).otherwise("").alias("tail"), F.coalesce("protein", F.lit("")).alias("protein"), text.alias("line"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("at", "sample"))), lambda x: F.concat(F.lit("\t"), x["sample"]))
+    head = names.agg(F.concat(F.lit("Feature \\ Sample"), F.array_join(listed, "")).alias("line"))
+    return head.select(F.lit(-1).cast("long").alias("n"), F.lit("").alias("tail"), F.lit("").alias("protein"), "line").unionByName(body)
 
 
 def write_matrix(df: DataFrame, path: str) -> None:
-    """Tab-separated matrix; samples are columns, so their names (not their data) are listed once."""
-    samples = sorted(r[0] for r in df.select("sample").distinct().collect())
-    head = df.sparkSession.createDataFrame([(-1, "", "", "\t".join(["Feature \\ Sample", *samples]))], "n long, tail string, protein string, line string")
-    rows = head.unionByName(matrix_lines(df, samples)).repartitionByRange("n", "tail", "protein").sortWithinPartitions("n", "tail", "protein")
+    """Tab-separated matrix, a folder of parts that are one file when read in name order."""
+    rows = matrix_lines(df).repartitionByRange("n", "tail", "protein").sortWithinPartitions("n", "tail", "protein")
     rows.select(F.col("line").alias("value")).write.text(path)
 
 

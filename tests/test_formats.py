@@ -102,6 +102,23 @@ def test_matrix(spark, tmp_path):
     assert got == [("8|x", "8", "s1", 0.0), ("8|x", "8", "s2", 2.0), ("ABCDEF", "9", "s1", 1.0), ("ABCDEF", "9", "s2", 0.0)]
 
 
+def test_matrix_of_many_samples(spark, tmp_path):
+    names = 5000
+    d = spark.range(3 * names).selectExpr(f"concat('s', lpad(id % {names}, 5, '0')) as sample", f"cast(id div {names} as string) as cluster", "'P' as protein", "cast(id % 3 as double) as value")
+    d = d.where("cluster <> '1' or value > 1.5").unionByName(d.where("cluster = '0'"))  # gaps in one line, two values a cell in another
+    X.write_matrix(d, str(tmp_path / "m"))
+    lines = "".join(p.read_text() for p in sorted((tmp_path / "m").glob("part-*"))).splitlines()
+    assert lines[0].split("\t")[1:] == [f"s{i:05d}" for i in range(names)]
+    value = lambda c, i: (c * names + i) % 3
+    cell = [lambda i: 2 * value(0, i), lambda i: value(1, i) if value(1, i) == 2 else 0, lambda i: value(2, i)]
+    assert [r.split("\t") for r in lines[1:]] == [[f"{c}|P", *[str(cell[c](i)) for i in range(names)]] for c in range(3)]
+
+
+def test_empty_matrix(spark, tmp_path):
+    X.write_matrix(spark.createDataFrame([], "sample string, cluster string, protein string, value double"), str(tmp_path / "m"))
+    assert "".join(p.read_text() for p in sorted((tmp_path / "m").glob("part-*"))) == "Feature \\ Sample\n"
+
+
 def test_reads(spark, rows, tmp_path):
     put(tmp_path, "one.fastq", "@r1 x\nACGT\n+\n@@@@\n@r2\nAC\n+\nII\n")
     put(tmp_path, "two.fa", ">q1\nAC\nGT\n>q2\nA\n")
