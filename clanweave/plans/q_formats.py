@@ -13,6 +13,7 @@ from clanweave.plans.views import SQL_LETTERS, acc, letters_of
 from clanweave.session import scratch_path
 from clanweave.sources import readers as R
 from clanweave.sources import writers as X
+from clanweave.sources.archives import scratch_archives
 
 LINES = "unnest(string_split(rtrim(t, chr(10)), chr(10)))"
 
@@ -38,6 +39,16 @@ def _(v):
     return v.spark.read.text(path).agg(F.count(F.lit(1)).alias("lines"), F.max(F.when(seq, F.length("value"))).cast("long").alias("widest"))
 
 
+@query(
+    "snk01_fasta_lines",
+    "select '>' || id as line from sequences union all select substr(seq, 80 * k + 1, 80) from (select seq, unnest(range(greatest(1, (seq_len + 79) // 80))) as k from sequences)",
+)
+def _(v):
+    path = scratch_path(v.spark, "fasta")
+    X.write_fasta(v.sequences, path)
+    return v.spark.read.text(path).withColumnRenamed("value", "line")
+
+
 @query(
     "src02_read_fasta_multi_header",
     """with d as (select doc_id, coalesce(nullif(@LETTERS@, ''), 'X') as seq, row_number() over (order by doc_id) - 1 as ord from documents)
@@ -69,6 +80,13 @@ def _(v):
     return v.spark.read.text(path).agg(F.count_if(~F.col("value").startswith("\t")).alias("ids"), F.count_if(F.col("value").startswith("\t")).alias("fields"))
 
 
+@query("snk05_struct_lines", f"with {ATTS}, a as (select * from atts where value is not null) select distinct node_id as line from a union all select chr(9) || name || chr(9) || value from a")
+def _(v):
+    path = scratch_path(v.spark, "struct")
+    X.write_struct(struct_rows(v), path)
+    return v.spark.read.text(path).withColumnRenamed("value", "line")
+
+
 @query("src04_read_blast_tab", "select src, dst, pid, alen, bitscore from hits")
 def _(v):
     h = v.hits
@@ -126,6 +144,21 @@ def _(v):
     return lines.agg(n("<node ").alias("nodes"), n("<edge ").alias("edges"), n("<att name=").alias("atts"), n('<att type="list"').alias("lists"))
 
 
+XML_TEXT = "replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+
+
+@query(
+    "snk04_xgmml_lines",
+    f"""with a as (select accession as node_id, 'Organism' as name, '<a&b> ' || "Organism" as value, false as listed from annotations union all select node_id, name, value, true from node_atts)
+    select '<att name="' || {XML_TEXT.format('name')} || '" type="string" value="' || {XML_TEXT.format("coalesce(value, '')")} || '" />' as line from a
+    union all select '<att type="list" name="' || {XML_TEXT.format('name')} || '">' from (select distinct node_id, name from a where listed) union all select '</att>' from (select distinct node_id, name from a where listed)
+    union all select '<node id="' || {XML_TEXT.format('node')} || '" label="' || {XML_TEXT.format('node')} || '">' from nodes union all select '</node>' from nodes""",
+)
+def _(v):
+    """All lines about nodes; the edges are compared by ``src06_read_xgmml_edges``."""
+    return v.spark.read.text(xgmml_path(v)).withColumnRenamed("value", "line").where("line like '<att%' or line like '</att%' or line like '<node%' or line like '</node%'")
+
+
 @query("src07_read_id_list", "select distinct id from (select 'A' || (1000000 + o_custkey) as id from orders union all select 'B' || o_custkey from orders)")
 def _(v):
     line = F.concat(acc("o_custkey"), F.lit(",, B"), F.col("o_custkey").cast("string"), F.lit("\r"))
@@ -211,6 +244,21 @@ def _(v):
     return R.read_metagenome_reads(v.spark, path).drop("sample")
 
 
+@query("src17_read_archived_reads", "select l_orderkey || '_' || l_linenumber as read_id, repeat('ACGT', l_quantity::int) as seq, (4 * l_quantity)::int as len from lineitem")
+def _(v):
+    """Members are dealt over compressed archives, each written and read back by a task."""
+    rid = F.concat(F.lit("@"), F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"))
+    rec = F.concat_ws("\n", rid, F.repeat(F.lit("ACGT"), F.col("l_quantity").cast("int")), F.lit("+"), F.repeat(F.lit("IIII"), F.col("l_quantity").cast("int")))
+    return R.read_archived_reads(v.spark, scratch_archives(v.table("lineitem").select(rec.alias("value")), "fastq")).drop("sample")
+
+
+@query("src17_read_archived_fasta", "select id as read_id, seq_len as len from sequences where seq_len > 0")
+def _(v):
+    """Plain archives, whose members are read in pieces."""
+    rec = X.fasta_record(F.col("id"), F.col("seq")).alias("value")
+    return R.read_archived_reads(v.spark, scratch_archives(v.sequences.where("seq_len > 0").select(rec), "fasta", kind="")).select("read_id", "len")
+
+
 @query("src17_read_fasta_reads", "select id as read_id, seq_len as len from sequences where seq_len > 0")
 def _(v):
     path = scratch_path(v.spark, "reads") + ".fa"
