@@ -111,3 +111,31 @@ def test_empty(docs, words_file, pieces_file):
     assert id_store.store_digests(none, words_file).count() == 0
     assert counts.count_tokens(none, words_file).count() == 0
     assert spm.encode_documents(none, pieces_file).count() == 0
+
+
+def test_words_are_encoded_together(monkeypatch):
+    """One call of the library for many words, with each word's own ids; it was one entry a word before."""
+    import numpy as np
+    import public_tokenizers
+
+    from clanweave.llm import id_store
+
+    monkeypatch.setattr(id_store, "JOINED", 64)
+    model = id_store.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    odd = ["é", "́x", " ", " a", "\x1c", "x<|endoftext|>y", "it's9", "﻿", "中\U0001f600", "İ", "가"]
+    words = [*(w.encode() for w in odd), *(f"word{k}".encode() for k in range(200))]
+    asked = []
+
+    class Library:
+        def encode(self, text, **kwargs):
+            asked.append(text)
+            return library.encode(text, **kwargs)
+
+        def encode_batch_fast(self, texts, **kwargs):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **kwargs)
+
+    library, model.library = model.library, Library()
+    found = model._encode(words)
+    assert len(asked) == -(-len(words) // 64)
+    assert found == [np.array(library.encode(w.decode(), add_special_tokens=False).ids, model.kind).tobytes() for w in words]
