@@ -29,7 +29,7 @@ from clanweave.operators.graph import connected_components
 from clanweave.session import materialize
 
 #: Variants that are held at a time, variants of one bucket (on average), shingles whose bits are counted at a time.
-HELD, BUCKET, SHINGLES = 1 << 22, 1 << 22, 1 << 14
+HELD, BUCKET, SHINGLES = 1 << 19, 1 << 22, 1 << 14
 
 
 def fingerprint(text: bytes, width: int = 4, seed: int = 42) -> int:
