@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from clanweave import schemas
 from clanweave.functions import scalar as S
 from clanweave.functions.ordered import ordered_scan
+from clanweave.session import materialize
 from clanweave.sources.archives import archive_lines, archive_of, member_of
-from clanweave.sources.ordered import ORDER, records, under_heads
+from clanweave.sources.ordered import ORDER, first_lines, records, under_heads
 
 LARGE_READ = 50_000
 _ATT = "array<struct<_name:string,_type:string,_value:string,att:array<struct<_name:string,_type:string,_value:string>>>>"
@@ -75,8 +76,8 @@ def sequence_id(ordinal: str):
 
 def read_metagenome_reads(spark: SparkSession, path: str, skip_long: bool = False) -> DataFrame:
     """``(sample, read_id, seq, len)`` of FASTA or FASTQ files (plain, gz, bz2), by file name."""
-    lines = records(spark, path)
-    return _reads(lines, F.col("_file"), F.regexp_extract("_file", r"([^/.]+)\.[^/]*$", 1), skip_long)
+    lines = materialize(records(spark, path).withColumn("_kind", _kind(F.col("_file"))), "lines")
+    return _reads(lines, F.regexp_extract("_file", r"([^/.]+)\.[^/]*$", 1), skip_long)
 
 
 def read_archived_reads(spark: SparkSession, path: str | DataFrame, skip_long: bool = False) -> DataFrame:
@@ -84,16 +85,16 @@ def read_archived_reads(spark: SparkSession, path: str | DataFrame, skip_long: b
 
     An archive holds the files of one sample and names it; a member's name tells its format.
     """
-    lines = archive_lines(spark, path)
-    return _reads(lines, member_of(), F.regexp_extract(archive_of(), r"([^/.]+)[^/]*$", 1), skip_long)
+    lines = archive_lines(spark, path).withColumn("_kind", _kind(member_of()))
+    return _reads(lines, F.regexp_extract(archive_of(), r"([^/.]+)[^/]*$", 1), skip_long)
 
 
-def _reads(lines: DataFrame, name: Column, sample: Column, skip_long: bool) -> DataFrame:
-    kind = F.when(F.lower(name).rlike(r"\.(fastq|fq)([./]|$)"), "fastq").otherwise("fasta")
-    lines = lines.withColumn("_kind", kind)
-    q = ordered_scan(lines.where("_kind = 'fastq'"), ["_file"], ORDER[1:], rank="_r")
-    q = q.withColumn("_rec", F.expr("(_r - 1) div 4")).withColumn("_k", (F.col("_r") - 1) % 4)
-    fastq = q.groupBy("_file", "_rec").agg(F.max(F.when(F.col("_k") == 0, F.col("value"))).alias("h"), F.max(F.when(F.col("_k") == 1, F.col("value"))).alias("seq"))
+def _kind(name: Column) -> Column:
+    return F.when(F.lower(name).rlike(r"\.(fastq|fq)([./]|$)"), "fastq").otherwise("fasta")
+
+
+def _reads(lines: DataFrame, sample: Column, skip_long: bool) -> DataFrame:
+    fastq = first_lines(lines.where("_kind = 'fastq'"), 4)
     # every line counts, so a read without residues keeps its place; blank lines at the end make no record
     fastq = fastq.where(F.col("h").startswith("@")).select("_file", F.regexp_extract("h", r"^@(\S+)", 1).alias("read_id"), "seq")
     is_head = F.col("value").startswith(">")

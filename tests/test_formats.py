@@ -137,3 +137,27 @@ def test_tree_and_embl(spark, rows, tmp_path):
     m = spark.createDataFrame([("P9", "EMBL-CDS", "CAA1.1")], "uniprot_id string, foreign_id_type string, foreign_id string")
     got = rows(T.build_gene_positions(R.read_embl(spark, put(tmp_path, "c.embl", embl)), m))
     assert got == [("CX1", "A0A1", 1, 0, 1, 1, 90), ("CX1", "P9", 2, 0, 0, 100, 200)]
+
+
+def test_fastq_records_cut_by_blocks_are_put_together(spark, tmp_path):
+    """Blocks of 40 bytes cut records between and inside lines; only the cut records are dealt by key, and no line is ranked by a sort."""
+    from clanweave.sources import readers as R
+
+    want = []
+    for name, n in (("a.fastq", 60), ("b.fq", 25)):
+        reads = [(f"{name[0]}{i}", "" if i % 9 == 5 else "ACGT" * (1 + i % 4)) for i in range(n)]
+        (tmp_path / name).write_text("".join(f"@{i} x\n{s}\n+\n@{'I' * len(s)}\n" for i, s in reads))
+        want += [(name[0], i, s, len(s)) for i, s in reads]
+    (tmp_path / "c.fastq").write_text("@last\n")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = R.read_metagenome_reads(spark, str(tmp_path))
+        assert "Window" not in got.where("read_id like 'a%'")._jdf.queryExecution().optimizedPlan().toString().split("Union")[1].split("_no")[0]
+        found = sorted(tuple(r) for r in got.collect() if r.seq is not None)
+        assert [r.read_id for r in got.where("seq is null").collect()] == ["last"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", was[1])
+    assert found == sorted(want)
