@@ -115,3 +115,24 @@ def test_clan_order(spark, rows):
     d = spark.createDataFrame([(1, "a", 5, 1), (1, "b", 5, 0), (1, "c", 2, 9), (1, "d", None, None)], "cluster int, accession string, clan int, fam int")
     got = rows(N.order_by_clan(d), "sort_order", "accession", "uid")
     assert got == [(0, "b", "SSN1-CL5-FAM0-0"), (1, "a", "SSN1-CL5-FAM1-1"), (2, "c", "SSN1-CL2-FAM9-2"), (999999, "d", None)]
+
+
+def test_window_rows_are_narrow_and_dealt_by_query_once(spark):
+    """What all rows of a query share is not in the rows that are dealt and sorted; of rows that repeat an ordinal the least one stays."""
+    from clanweave.operators import neighborhood as N
+
+    genes = [("C1", f"A{i}", i, 1, i % 2, 1000 * i, 1000 * i + 90) for i in range(1, 30)]
+    genes += [("C1", "A7", 7, 1, 0, 6000, 6090), ("C1", "A7", 9, 1, 0, 9500, 9590), ("C1", "A8", 8, 1, 1, 8000, 8090)]
+    genes = spark.createDataFrame(genes, "ID string, AC string, NUM long, TYPE int, DIRECTION int, start long, stop long")
+    queries = spark.createDataFrame([("A5",), ("A8",), ("A20",)], "query string")
+    found = N.find_neighbors(queries, genes, 4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    dealt = plan.split("RepartitionByExpression")[1]
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert "last_stop" not in dealt.split("Join")[0] and "query_start" not in dealt.split("Join")[0]
+    least = {}
+    for r in N.genes_in_window(N.choose_genome(queries, genes), genes, 4).where("neighbor <> query").collect():
+        key, value = (r.query, r.neighbor), (abs(r.distance), r.num, r.direction, r.start, r.stop, r.distance)
+        least[key] = min(least.get(key, value), value)
+    got = {(r.query, r.neighbor): (abs(r.distance), r.num, r.direction, r.start, r.stop, r.distance) for r in found.collect()}
+    assert got == least and got["A5", "A7"] == (2, 7, 0, 6000, 6090, 2)
