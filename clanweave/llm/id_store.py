@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -28,8 +29,9 @@ from pyspark.sql import functions as F
 from clanweave.llm.common import Memo, held_by_worker, id_text, map_arrow, mix, octets
 from clanweave.session import materialize, scratch_path
 
-#: Distinct words whose ids a Python worker remembers; words that are encoded in one call; keys of one index bucket; bytes of one range read.
-MEMO, JOINED, BUCKET, READ = 400_000, 4096, 1 << 16, 8 << 20
+#: Distinct words, and pieces of words, whose ids a Python worker remembers; words that are encoded in one call; keys of one index bucket;
+#: bytes of one range read.
+MEMO, PIECES, JOINED, BUCKET, READ = 400_000, 300_000, 4096, 1 << 16, 8 << 20
 _ENTRY = np.dtype([("print", "<u4"), ("shard", "<u4"), ("first", "<u8"), ("count", "<u4")])
 _MAGIC = b"CWMPH01\n"
 
@@ -54,9 +56,44 @@ def write_file(folder: str, name: str, chunks) -> None:
 # --- encoding -----------------------------------------------------------------------------------------------------------
 
 
+#: Letters and digits of plain texts, which hold nothing else beyond ASCII: composed already, and lower-cased one by one.
+LETTERS, DIGITS = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9"
+
+
+def plain_pieces(spec: dict) -> tuple[re.Pattern, bool] | None:
+    """How a plain text falls into the pieces that the model sees, and whether it is lower-cased before; None if the tokenizer isn't known to treat it so.
+
+    The pattern is the tokenizer's own, with the letters and digits of plain texts for those of Unicode; composition and the joining of white space do not change the pieces.
+    """
+    norm = (spec["normalizer"] or {"normalizers": []}).get("normalizers", [spec["normalizer"]])
+    split, *rest = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    space = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    if any(n["type"] not in ("NFC", "Lowercase") and n != space for n in norm) or spec["model"]["type"] != "BPE" or spec["model"]["dropout"]:
+        return None
+    if (split.get("type"), split.get("behavior"), split.get("invert")) != ("Split", "Removed", True) or "Regex" not in split["pattern"]:
+        return None
+    if [(r["type"], r.get("add_prefix_space"), r.get("use_regex")) for r in rest] != [("ByteLevel", False, False)]:
+        return None
+    pattern = re.sub(r"\[\^?(\\s|\\p\{[LN]\})+\]", lambda m: m[0].replace(r"\p{L}", LETTERS).replace(r"\p{N}", DIGITS), split["pattern"]["Regex"])
+    return None if r"\p" in pattern else (re.compile(pattern), any(n["type"] == "Lowercase" for n in norm))
+
+
+class _Pieces(dict):
+    """The ids of pieces, encoded when first asked for unless the generation before holds them."""
+
+    def __init__(self, compute, old: dict):
+        self.compute, self.old = compute, dict(old)
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self.old.get(piece) or self.compute(piece)
+        return ids
+
+
 class WordEncoder:
     """The library's ids of a text, word by word: in the supported tokenizers no token lies across white space."""
 
+    OTHER = re.compile(rf"[^\t-\r -~{LETTERS}]").search
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -66,7 +103,15 @@ class WordEncoder:
         if not spec["model"].get("end_of_word_suffix") or any(t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
             raise ValueError("the tokenizer must drop white space between words")
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memo = Memo(MEMO)
+        self.memo, self.parts = Memo(MEMO), _Pieces(self._merged, {})
+        self.pieces = plain_pieces(spec)
+        self.added = [t["content"].lower() for t in spec["added_tokens"]]
+
+    def _merged(self, piece: str) -> bytes:
+        """The ids of a piece. The library spells bytes beyond ASCII with other letters; a piece of ASCII is spelled as it is."""
+        if not piece.isascii():
+            piece = "".join(x for x, _ in self.library.pre_tokenizer.pre_tokenize_str(piece))
+        return b"".join([t.id.to_bytes(self.kind.itemsize, "little") for t in self.library.model.tokenize(piece)])
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word. Words are encoded as one text, since a call costs more than a word; tokens are dealt to words by where they start."""
@@ -81,6 +126,15 @@ class WordEncoder:
         return out
 
     def encode(self, text: bytes) -> bytes:
+        """The ids of a text. Many words hold the same pieces, and the library's own splitting costs more than its merges, so plain texts are split first."""
+        whole = text.decode()
+        if self.pieces is not None and self.OTHER(whole) is None:
+            split, lower = self.pieces
+            small = whole.lower()
+            if not any(t in small for t in self.added):
+                if len(self.parts) > PIECES:
+                    self.parts = _Pieces(self._merged, self.parts)
+                return b"".join(map(self.parts.__getitem__, split.findall(small if lower else whole)))
         return b"".join(self.memo.values(text.split(), self._encode))
 
 

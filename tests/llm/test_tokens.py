@@ -139,3 +139,15 @@ def test_words_are_encoded_together(monkeypatch):
     found = model._encode(words)
     assert len(asked) == -(-len(words) // 64)
     assert found == [np.array(library.encode(w.decode(), add_special_tokens=False).ids, model.kind).tobytes() for w in words]
+
+
+def test_plain_texts_are_encoded_by_pieces(words_file):
+    model = id_store.WordEncoder(words_file)
+    rng = random.Random(5)
+    letters = [chr(c) for c in [*range(9, 14), *range(32, 127), *range(0xC0, 0x100)]]
+    texts = ["".join(rng.choices(letters, k=60)) for _ in range(300)] + ["Don't THEY'RE they're 'S ''s a1b22 É", "", " ", "it's<|endoftext|>x <|ENDOFTEXT|>", "a\x00b\x1cc\x7f", "éé ²½ ǅ İ  x y 東京", "ÀÉÎÕÜ ×÷ ß"]
+    for text in texts:
+        assert np.frombuffer(model.encode(text.encode()), model.kind).tolist() == model.library.encode(text, add_special_tokens=False).ids, text
+    model.parts.clear()
+    model.encode(b"Word, word. WORD!")
+    assert sorted(model.parts) == ["!", ",", ".", "word"]  # each piece is encoded once, whatever words it stands in
