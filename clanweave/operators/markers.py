@@ -25,9 +25,10 @@ def usable_hits(hits: DataFrame, min_id: float, min_len: int, max_frac: float) -
     return hits.where((F.col("query") != F.col("subject")) & (F.col("pid") / 100 >= min_id) & (F.col("alen") >= min_len) & (frac <= max_frac))
 
 
-def overlap_counts(seqs: DataFrame, sources: Sequence[tuple[DataFrame, float, int, float]]) -> DataFrame:
+def overlap_counts(seqs: DataFrame, sources: Sequence[tuple[DataFrame, float, int, float]], spans: bool = False) -> DataFrame:
     """``(family, pos, n)`` for every position: number of usable hits over all sources that cover it.
 
+    With ``spans`` one row ``(family, pos, next, n)`` stands for the positions from ``pos`` up to ``next`` that have the same number.
     Each hit is two events (+1 at its start, −1 after its end), summed map-side; the running sum then sees at
     most one row per position of a family.
     """
@@ -39,8 +40,10 @@ def overlap_counts(seqs: DataFrame, sources: Sequence[tuple[DataFrame, float, in
         events = events.unionByName(e.join(seqs.select("family"), "family", "left_semi"))
     steps = events.groupBy("family", "pos").agg(F.sum("d").alias("d"))
     w = Window.partitionBy("family").orderBy("pos")
-    spans = steps.select("family", "pos", F.sum("d").over(w).alias("n"), F.lead("pos").over(w).alias("_next")).where("_next is not null")
-    return spans.select("family", F.explode(F.sequence(F.col("pos"), F.col("_next") - 1)).alias("pos"), "n")
+    runs = steps.select("family", "pos", F.lead("pos").over(w).alias("next"), F.sum("d").over(w).alias("n")).where("next is not null")
+    if spans:
+        return runs.where("pos is not null")
+    return runs.select("family", F.explode(F.sequence(F.col("pos"), F.col("next") - 1)).alias("pos"), "n")
 
 
 def mask_ambiguous(counts: DataFrame, seqs: DataFrame) -> DataFrame:
@@ -50,10 +53,13 @@ def mask_ambiguous(counts: DataFrame, seqs: DataFrame) -> DataFrame:
 
 
 def true_markers(counts: DataFrame, seqs: DataFrame, min_len: int = 8, max_total: int = 300) -> DataFrame:
-    """Runs without overlap of at least ``min_len``, numbered from the left; a family's total is cut to ``max_total``."""
+    """Runs without overlap of at least ``min_len``, numbered from the left; a family's total is cut to ``max_total``. ``counts`` by position or by span."""
     w = Window.partitionBy("family").orderBy("pos")
-    zero = counts.where("n = 0").withColumn("_g", F.col("pos") - F.row_number().over(w))
-    runs = zero.groupBy("family", "_g").agg(F.min("pos").alias("start"), F.count(F.lit(1)).alias("_len")).where(F.col("_len") >= min_len)
+    if "next" in counts.columns:
+        zero = counts.where("n = 0").withColumn("_l", F.col("next") - F.col("pos")).withColumn("_g", F.col("next") - F.sum("_l").over(w))
+    else:
+        zero = counts.where("n = 0").withColumn("_l", F.lit(1)).withColumn("_g", F.col("pos") - F.row_number().over(w))
+    runs = zero.groupBy("family", "_g").agg(F.min("pos").alias("start"), F.sum("_l").alias("_len")).where(F.col("_len") >= min_len)
     ws = Window.partitionBy("family").orderBy("start")
     before = F.coalesce(F.sum("_len").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     runs = runs.withColumn("_room", F.lit(max_total) - before).where(F.col("_room") >= min_len)
@@ -126,6 +132,8 @@ def junction_markers(seqs: DataFrame, hits: DataFrame, marker_len: int = 33, sho
 def quasi_markers(counts: DataFrame, seqs: DataFrame, window: int = 33, threshold: float = 60.0, max_total: int = 300) -> DataFrame:
     """The stretch of least overlap of each family, widened as far as the threshold allows; columns only.
 
+    ``counts`` has a row per position or per span of positions (``overlap_counts``); spans keep the rows that are sorted and gathered few.
+
     With T(i) the sum of overlap^¼ over the first i positions: the stretch begins as the window of ``window`` (12 at least) positions with the least T(end) − T(start),
     the leftmost of equals. Its end moves to the last position, short of the sequence's last residue and of ``max_total``, at which the sum is within
     the threshold. If the end was not held back by the threshold, the start moves likewise to the first such position.
@@ -134,9 +142,12 @@ def quasi_markers(counts: DataFrame, seqs: DataFrame, window: int = 33, threshol
     w = Window.partitionBy("family").orderBy("pos")
     # whole millionths: sums do not depend on their order, and equal the threshold where they should
     root = F.round(F.pow(F.col("n").cast("double"), F.lit(0.25)) * 1_000_000).cast("long")
-    running = counts.select("family", "pos", F.sum(root).over(w).alias("t"))
+    length = F.col("next") - F.col("pos") if "next" in counts.columns else F.lit(1)
+    running = counts.select("family", "pos", F.sum(root * length).over(w).alias("t"), root.alias("root"), length.alias("more"))
     limit = F.lit(round(threshold * 1_000_000))
-    listed = running.groupBy("family").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "t"))), lambda x: x["t"]).alias("t"))
+    # the sum at a span's last position is known; at those before it, it is less by the root for each
+    sums = lambda x: F.transform(F.sequence(x["more"] - 1, F.lit(0), F.lit(-1)), lambda k: x["t"] - x["root"] * k)
+    listed = running.groupBy("family").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "t", "root", "more"))), sums)).alias("t"))
     d = seqs.select("family", "seq").join(listed, "family").withColumn("t", F.concat(F.array(F.lit(0).cast("long")), "t"))
     d = d.withColumn("len", F.size("t") - 1)
     at = lambda i: F.element_at("t", F.least(i, F.col("len")) + 1)

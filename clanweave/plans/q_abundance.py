@@ -224,8 +224,8 @@ OVER = """cov as (select query as family, unnest(range(qstart, qend + 1)) as pos
     over_ as (select a.family, a.pos, coalesce(n, 0) as n, substr(a.seq, a.pos, 1) as residue from allpos a left join (select family, pos, count(*) as n from cov group by 1, 2) c on c.family = a.family and c.pos = a.pos)"""
 
 
-def overlap(v):
-    return M.overlap_counts(v.consensus, [(v.self_hits, 0.90, 10, 1.0), (v.self_hits, 0.95, 10, 0.15)])
+def overlap(v, spans=False):
+    return M.overlap_counts(v.consensus, [(v.self_hits, 0.90, 10, 1.0), (v.self_hits, 0.95, 10, 0.15)], spans)
 
 
 @query("mk01_overlap_counts", f"with {OVER} select family, pos::int as pos, n from over_")
@@ -250,7 +250,7 @@ ISLANDS = f"""{OVER}, z as (select family, pos, pos - row_number() over (partiti
     from tm t join consensus c on c.family = t.family""",
 )
 def _(v):
-    return M.true_markers(overlap(v), v.consensus, min_len=4, max_total=60)
+    return M.true_markers(overlap(v, spans=True), v.consensus, min_len=4, max_total=60)
 
 
 @query("mk04_junction_markers")
@@ -274,7 +274,7 @@ def _(v):
     from done d join t x on x.family = d.family and x.pos = a join t y on y.family = d.family and y.pos = least(b, len)""",
 )
 def _(v):
-    return M.quasi_markers(overlap(v), v.consensus, window=33, threshold=40.0, max_total=60)
+    return M.quasi_markers(overlap(v, spans=True), v.consensus, window=33, threshold=40.0, max_total=60)
 
 
 @query(
@@ -285,7 +285,7 @@ def _(v):
     select marker, subject, overlap::int as overlap, round(overlap::double / sum(overlap) over (partition by marker), 6) as weight from rows""",
 )
 def _(v):
-    tm = M.true_markers(overlap(v), v.consensus, min_len=4, max_total=60)
+    tm = M.true_markers(overlap(v, spans=True), v.consensus, min_len=4, max_total=60)
     mk = tm.select(F.concat_ws("_", "family", "start").alias("marker"), "family", "start", "end")
     hits = v.self_hits.where("query <> subject")
     return M.marker_weights(mk, hits).withColumn("weight", F.round("weight", 6))
@@ -296,7 +296,7 @@ def _(v):
     f"""with {ISLANDS}, mk as (select t.family, family || '_' || t.start as marker, substr(seq, t.start, t.len) as seq from tm t join consensus using (family)) select min(marker) over (partition by seq) as rep, marker from mk""",
 )
 def _(v):
-    tm = M.true_markers(overlap(v), v.consensus, min_len=4, max_total=60)
+    tm = M.true_markers(overlap(v, spans=True), v.consensus, min_len=4, max_total=60)
     mk = tm.select(F.concat_ws("_", "family", "start").alias("marker"), "seq")
     return M.cluster_markers(mk, identity=1.0)
 
@@ -309,7 +309,7 @@ def _(v):
     {GREEDY} select coalesce(t.top, o.id) as rep, marker from mk join one o on o.seq = mk.seq left join gr_top t on t.id = o.id""",
 )
 def _(v):
-    tm = M.true_markers(overlap(v), v.consensus, min_len=4, max_total=60)
+    tm = M.true_markers(overlap(v, spans=True), v.consensus, min_len=4, max_total=60)
     return M.cluster_markers(tm.select(F.concat_ws("_", "family", "start").alias("marker"), "seq"), identity=0.90)
 
 
