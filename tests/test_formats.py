@@ -161,3 +161,16 @@ def test_fastq_records_cut_by_blocks_are_put_together(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", was[0])
         spark.conf.set("spark.sql.files.openCostInBytes", was[1])
     assert found == sorted(want)
+
+
+def test_many_short_files_are_opened_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(X, "FILES_PER_TASK", 20)
+    ids = spark.createDataFrame([(i % 120, f"A{i:04d}", i % 120 >= 100) for i in range(360)], "cluster int, id string, single boolean")
+    X.write_id_lists_per_cluster(ids, str(tmp_path / "lists"), "X")
+    named = {(p.parent.name.removeprefix("file="), line) for p in tmp_path.glob("lists/file=*/part-*") for line in p.read_text().split()}
+    want = {("singleton_X_IDs" if r.single else f"cluster_X_IDs_{r.cluster}", r.id) for r in ids.collect()}
+    assert named == want | {("cluster_All_X_IDs", r.id) for r in ids.collect() if not r.single}
+    files = {}
+    for p in tmp_path.glob("lists/file=*/part-*"):
+        files.setdefault(p.name[:10], set()).add(p.parent.name)
+    assert len(files) >= 5 and max(map(len, files.values())) <= 60
