@@ -10,6 +10,7 @@ from clanweave.functions import scalar as S
 from clanweave.functions.ordered import ordered_scan
 from clanweave.session import materialize
 from clanweave.sources.archives import archive_lines, archive_of, member_of
+from clanweave.sources.folders import read_folders
 from clanweave.sources.ordered import ORDER, first_lines, records, under_heads
 
 LARGE_READ = 50_000
@@ -142,6 +143,11 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.explode(F.split("value", r"[\r\n\s,]+")).alias("id")).where("id <> ''").distinct()
 
 
+def read_id_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """``(file, id)`` of the lists that ``write_id_lists_per_cluster`` has written."""
+    return read_folders(spark, folder, "file").select("file", F.col("value").alias("id"))
+
+
 def read_id_evalue_list(spark: SparkSession, path: str) -> DataFrame:
     """``(id, evalue, ord)`` of a ``id|evalue`` list separated by commas or line ends; ``ord`` is the 0-based position."""
     items = records(spark, path).select(*ORDER, F.posexplode(F.split("value", r"[\r\n,]+")).alias("_pos", "item")).where(F.trim("item") != "")

@@ -174,3 +174,32 @@ def test_many_short_files_are_opened_by_many_tasks(spark, tmp_path, monkeypatch)
     for p in tmp_path.glob("lists/file=*/part-*"):
         files.setdefault(p.name[:10], set()).add(p.parent.name)
     assert len(files) >= 5 and max(map(len, files.values())) <= 60
+
+
+def test_id_lists_are_written_and_read_without_a_scan_per_folder(spark, rows, tmp_path, monkeypatch):
+    from clanweave.sources import folders as D
+
+    ids = spark.createDataFrame([(1, "A1", False), (1, None, False), (1, "A1", False), (None, "A2", False), (2, "x y", False), (3, "A3", True), (4, "A\u00e94", None)], "cluster int, id string, single boolean")
+    X.write_id_lists_per_cluster(ids, str(tmp_path / "a"), "U/1")
+    got = R.read_id_lists(spark, f"file://{tmp_path}/a")
+    assert "FileScan text" not in got._jdf.queryExecution().toString()
+    want = spark.read.text(str(tmp_path / "a")).select("file", "value")
+    assert want.columns == ["file", "value"] and rows(got) == rows(want)
+    part = "cluster_U/1_IDs_"
+    key = lambda r: (str(r[0]), r[1])
+    lists = [(part + "1", "A1"), (part + "1", ""), (part + "1", "A1"), (None, "A2"), (part + "2", "x y"), ("singleton_U/1_IDs", "A3"), (part + "4", "A\u00e94")]
+    every = [("cluster_All_U/1_IDs", i) for i in ("A1", "", "A1", "A2", "x y")]
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(lists + every, key=key)
+    with pytest.raises(FileExistsError):
+        X.write_id_lists_per_cluster(ids, str(tmp_path / "a"), "U/1")
+    # many short lists: tasks by the number of files, and the reader starts no task for a file or two
+    monkeypatch.setattr(X, "FILES_PER_TASK", 50)
+    monkeypatch.setattr(D, "FILES_PER_TASK", 50)
+    many = spark.createDataFrame([(i % 400, f"A{i:04d}", False) for i in range(800)], "cluster int, id string, single boolean")
+    X.write_id_lists_per_cluster(many, str(tmp_path / "b"), "X")
+    got = R.read_id_lists(spark, str(tmp_path / "b"))
+    assert got.count() == 1600 and got.rdd.getNumPartitions() <= 10 < spark.read.text(str(tmp_path / "b")).rdd.getNumPartitions()
+    put(tmp_path, "b/file=cluster_X_IDs_0/part-more.txt", "one\r\ntwo\rthree\n\nlast")
+    assert {r.id for r in R.read_id_lists(spark, str(tmp_path / "b")).collect()} >= {"one", "two", "three", "", "last"}
+    X.write_id_lists_per_cluster(ids.limit(0), str(tmp_path / "c"), "X")
+    assert R.read_id_lists(spark, str(tmp_path / "c")).count() == 0
