@@ -136,3 +136,12 @@ def test_window_rows_are_narrow_and_dealt_by_query_once(spark):
         least[key] = min(least.get(key, value), value)
     got = {(r.query, r.neighbor): (abs(r.distance), r.num, r.direction, r.start, r.stop, r.distance) for r in found.collect()}
     assert got == least and got["A5", "A7"] == (2, 7, 0, 6000, 6090, 2)
+
+
+def test_linear_contigs_beside_circular_ones_are_left_out_early(spark, rows):
+    wide = [(f"C{c}", f"A{a}", n, t, 1, 10 * n, 10 * n + 5) for c, t in ((1, 0), (2, 0), (3, 1), (4, 1), (5, None)) for n, a in enumerate(range(c, 12 + 3 * c), 1)]
+    genes = spark.createDataFrame([*wide, (None, "A3", 1, 0, 1, 1, 2), ("C9", None, 1, 0, 1, 1, 2)], "ID string, AC string, NUM int, TYPE int, DIRECTION int, start int, stop int")
+    asked = spark.createDataFrame([(f"A{a}",) for a in range(30)] + [("A3",), (None,)], "query string")
+    got = {r["query"]: r["contig"] for r in N.choose_genome(asked, genes).collect()}
+    assert got["A5"] == "C5" and got["A1"] == "C1" and got["A2"] == "C2" and got["A3"] == "C2" and len(got) == 26
+    assert "Window" in N.choose_genome(asked, genes)._jdf.queryExecution().optimizedPlan().toString()

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clanweave.functions.ordered import bounded_quantiles, exact_quantiles, ordered_scan, rank_all
+from clanweave.functions.ordered import bounded_quantiles, exact_quantiles, ordered_scan, rank_all, rank_within
 
 
 def hot(spark, n=3000):
@@ -48,3 +48,21 @@ def test_quantiles(spark):
     for fn in (exact_quantiles, bounded_quantiles):
         for r in fn(df, ["g"], "x", points).collect():
             assert np.allclose([r["q1"], r["m"], r["q9"]], np.quantile(values[r["g"]], [0.25, 0.5, 0.9]))
+
+
+def test_ranks_move_rows_once(spark):
+    random.seed(3)
+    data = [(random.choice([None, "", "a", "b", "b", "b"]), random.choice([None, 0, 1, 2]), i * 7 % 1000, "x" * (i % 5)) for i in range(1000)]
+    df = spark.createDataFrame(data, "g string, h long, o int, p string").repartition(5)
+    got = ordered_scan(df, ["g", "h"], ["o"], rank="r")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan
+    want = {}
+    for g, h, o, p in sorted(data, key=lambda t: t[2]):
+        want.setdefault((g, h), []).append((o, p))
+    assert sorted(map(repr, got.collect())) == sorted(f"Row(g={g!r}, h={h!r}, o={o}, p={p!r}, r={r})" for (g, h), v in want.items() for r, (o, p) in enumerate(v, 1))
+    every = rank_all(df, [F.desc("o"), "p"], "r")
+    assert [t.o for t in every.orderBy("r").collect()] == list(range(999, -1, -1)) and [t.r for t in every.orderBy("r").collect()] == list(range(1, 1001))
+    assert rank_within(df.limit(0), ["g"], ["o"], "r").count() == 0
+    odd = df.select(F.when(F.col("h") == 0, float("nan")).otherwise(F.col("h").cast("double")).alias("g"), "o")
+    assert {tuple(r) for r in rank_within(odd, ["g"], ["o"], "r").groupBy("g").agg((F.max("r") - F.count("o")).alias("d")).select("d").collect()} == {(0,)}
