@@ -138,6 +138,40 @@ def test_window_rows_are_narrow_and_dealt_by_query_once(spark):
     assert got == least and got["A5", "A7"] == (2, 7, 0, 6000, 6090, 2)
 
 
+def long_rows(spark):
+    rows = [(1, "q1", "n1", 1, "PF1-PF2"), (1, "q1", "n1", 1, "PF1-PF2"), (1, "q1", "n1", 1, "PF2-PF3"), (1, "q2", "n1", -2, "PF1-PF2"), (2, "q3", "n2", 2, "none"), (2, "q3", "n3", 3, None), (2, "q4", "n2", 2, "none")]
+    return spark.createDataFrame(rows, "cluster int, query string, neighbor string, distance long, family string").withColumns({"query_direction": F.lit(0), "direction": F.lit(1)})
+
+
+def test_split_families_are_made_distinct_before_they_are_multiplied(spark, rows):
+    colors = spark.createDataFrame([(1, "#1")], "cluster int, color string")
+    got = N.neighbor_long(long_rows(spark), colors, split=True)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")  # below it in the plan
+    want = [("q1", "n1", f, "01") for f in ("PF1", "PF2", "PF3")] + [("q2", "n1", f, "02") for f in ("PF1", "PF2")] + [(q, "n2", "none", "02") for q in ("q3", "q4")]
+    assert rows(got, "query", "neighbor", "family", "distance") == sorted(want)
+
+
+def test_neighbor_files_are_compressed_and_made_once(spark, rows, tmp_path, monkeypatch):
+    from clanweave.sources import writers as X
+
+    made = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda v: made.add(1) or v, "string").asNondeterministic()
+    colors = spark.createDataFrame([(1, "#1")], "cluster int, color string")
+    long = N.neighbor_long(long_rows(spark).where("family is not null"), colors, split=True).withColumn("query", counted("query")).localCheckpoint()
+    n = made.value
+    X.write_pfam_neighbor_files({"any": long}, str(tmp_path / "f"))
+    assert n == 7 and not [*tmp_path.glob("f/any/*/part-*.txt")]
+    each = spark.read.text(str(tmp_path / "f/any"))
+    assert rows(each.select("family").distinct()) == [(f,) for f in ("PF1", "PF2", "PF3", "none")]
+    assert ("PF3", "q1\tn1\tPF3\t1\t#1\t01\tcomplement-normal") in rows(each, "family", "value")
+    parts = sorted(tmp_path.glob("f/any_ALL_PFAM/part-*.gz"))
+    import gzip
+
+    lines = "".join(gzip.open(p, "rt").read() for p in parts).splitlines()
+    assert lines[0].startswith("Query ID\tNeighbor ID") and lines[1:] == [r[1] for r in sorted(rows(each, "family", "value"))]
+
+
 def test_linear_contigs_beside_circular_ones_are_left_out_early(spark, rows):
     wide = [(f"C{c}", f"A{a}", n, t, 1, 10 * n, 10 * n + 5) for c, t in ((1, 0), (2, 0), (3, 1), (4, 1), (5, None)) for n, a in enumerate(range(c, 12 + 3 * c), 1)]
     genes = spark.createDataFrame([*wide, (None, "A3", 1, 0, 1, 1, 2), ("C9", None, 1, 0, 1, 1, 2)], "ID string, AC string, NUM int, TYPE int, DIRECTION int, start int, stop int")
