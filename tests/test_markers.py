@@ -319,3 +319,12 @@ def test_consensus(spark, rows):
     a = spark.createDataFrame([("F", "ABC"), ("F", "ABD"), ("F", "ABE")], "family string, seq string")
     assert rows(Y.consensus(a, 0.95)) == [("F", "ABX")]
     assert a.agg(F.count("seq")).first()[0] == 3
+
+
+def test_letters_of_any_width_are_compared(spark, rows):
+    word = "ACDEFGHIKLMNPQRSTVWY" * 2
+    seqs = [("a", word + "\u0394" * 6), ("b", word + "\u0394" * 5 + "\u0395"), ("c", "MM" + word + "\u00e9"), ("d", word)]
+    got = rows(Y.pairwise_similarity(spark.createDataFrame(seqs, "id string, seq string"), 8, 4), "src", "dst", "alen", "pid")
+    close = lambda a, b: [x[:3] for x in a] == [x[:3] for x in b] and all(abs(x[3] - y[3]) < 1e-9 for x, y in zip(a, b))
+    assert close(got, sorted([("b", "a", 46, 4500 / 46), ("c", "a", 41, 4000 / 41), ("c", "b", 41, 4000 / 41), ("d", "a", 40, 100.0), ("d", "b", 40, 100.0), ("d", "c", 40, 100.0)]))
+    assert Y._points(word).nbytes == 40 and Y._points(word + "\u0394").nbytes == 164
